@@ -17,7 +17,7 @@ def json_key_set(df: DataFrame, payload: str = "raw_payload") -> DataFrame:
 
 def header_key_set(headers: DataFrame, line: str = "value") -> DataFrame:
     """Distinct column names of CSV header lines, case kept."""
-    names = F.split(F.regexp_replace(line, "^﻿", ""), ",")
+    names = F.split(F.regexp_replace(line, r"^\x{FEFF}", ""), ",")
     clean = F.transform(names, lambda n: F.regexp_replace(F.trim(n), r'^"|"$|\r$', ""))
     return headers.select(F.explode(clean).alias("column_key")).distinct()
 
