@@ -12,7 +12,7 @@ def json_key_set(df: DataFrame, payload: str = "raw_payload") -> DataFrame:
     Rows with the same key list collapse before the keys are spread out.
     """
     lists = df.select(F.json_object_keys(payload).alias("keys")).distinct()
-    return lists.select(F.upper(F.explode("keys")).alias("column_key")).distinct()
+    return lists.select(F.explode("keys").alias("key")).select(F.upper("key").alias("column_key")).distinct()
 
 
 def header_key_set(headers: DataFrame, line: str = "value") -> DataFrame:

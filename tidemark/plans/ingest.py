@@ -61,7 +61,7 @@ class SourceSpec:
 
     @property
     def glob(self) -> str:
-        return "*.csv" if self.is_csv else "*.json"
+        return "*.csv" if self.is_csv else "*"
 
     @property
     def landing_schema(self) -> str:

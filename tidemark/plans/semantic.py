@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -156,7 +156,7 @@ COMPARISONS = {
 
 
 def metric_query(
-    marts: dict[str, DataFrame],
+    marts: Mapping[str, DataFrame],
     metrics: Sequence[str],
     dimensions: Sequence[str] = (),
     filters: Sequence[tuple[str, str, object]] = (),

@@ -109,13 +109,13 @@ def csv_headers(spark: SparkSession, folder: str | Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------------- NDJSON
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.json") -> DataFrame:
+def read_lines(spark: SparkSession, paths: str | Sequence[str], glob: str = "*") -> DataFrame:
     """One row per non-empty line, unparsed."""
     lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(paths)
     return with_source(lines).where(F.trim("value") != "").select("value", "_source_file")
 
 
-def read_ndjson_strict(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.json") -> DataFrame:
+def read_ndjson_strict(spark: SparkSession, paths: str | Sequence[str], glob: str = "*") -> DataFrame:
     """Payload lines; the read fails on one that is not JSON."""
     lines = read_lines(spark, paths, glob)
     problem = F.concat(F.lit("not JSON in "), "_source_file")
@@ -125,7 +125,7 @@ def read_ndjson_strict(spark: SparkSession, paths: str | Sequence[str], glob: st
     return lines.select(checked.alias("raw_payload"), "_source_file")
 
 
-def read_ndjson_lenient(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.json") -> DataFrame:
+def read_ndjson_lenient(spark: SparkSession, paths: str | Sequence[str], glob: str = "*") -> DataFrame:
     """Payload lines with ``_is_bad`` set on those that are not JSON."""
     lines = read_lines(spark, paths, glob)
     return lines.select(
@@ -133,7 +133,7 @@ def read_ndjson_lenient(spark: SparkSession, paths: str | Sequence[str], glob: s
     )
 
 
-def read_ndjson_variant(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.json") -> DataFrame:
+def read_ndjson_variant(spark: SparkSession, paths: str | Sequence[str], glob: str = "*") -> DataFrame:
     """Payloads as VARIANT; an outer array stays one value."""
     lines = read_lines(spark, paths, glob)
     return lines.select(F.parse_json("value").alias("raw_payload"), "_source_file")

@@ -31,7 +31,7 @@ def run_stream(writer, every: str | None) -> StreamingQuery:
     return query
 
 
-def read_line_stream(spark: SparkSession, folder: str, glob: str = "*.json") -> DataFrame:
+def read_line_stream(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     return (
         spark.readStream.format("text")
         .option("pathGlobFilter", glob)
