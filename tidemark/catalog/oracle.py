@@ -306,6 +306,7 @@ def _expected_tests() -> str:
 
 def oracle_sql() -> dict[str, str]:
     o: dict[str, str] = {}
+    flag = "REPLACE (CAST(has_risk_flag AS VARCHAR) AS has_risk_flag)"
     # ------------------------------------------------------------- sources
     o["scan_settlements_csv"] = build("""
         SELECT settlement_id, 'S' || settlement_id AS transaction_id, account_id, merchant_id,
@@ -316,7 +317,7 @@ def oracle_sql() -> dict[str, str]:
         SELECT account_status, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) / 100.0 AS balance,
                CAST(max(ts) AS VARCHAR) AS last_update FROM activity GROUP BY account_status""")
     o["load_lenient"] = build("""
-        SELECT is_bad AS _is_bad, count(*) AS n_rows, CAST(sum(CASE WHEN is_bad THEN NULL ELSE n END) AS BIGINT) AS event_id_sum
+        SELECT is_bad AS _is_bad, count(*) AS n_rows, CAST(sum(CASE WHEN is_bad THEN 0 ELSE n END) AS BIGINT) AS event_id_sum
         FROM dirty GROUP BY is_bad""")
     o["load_strict"] = "SELECT count(*) AS loaded_rows, TRUE AS defective_refused FROM events"
     o["load_once_ledger"] = """
@@ -577,7 +578,7 @@ def oracle_sql() -> dict[str, str]:
     o["support_summary"] = build("""
         SELECT customer_id, cases AS support_case_count, high AS high_priority_case_count, opened AS open_case_count
         FROM case_sum""")
-    o["int_customer_activity_summary"] = build("SELECT * EXCLUDE (balance_cents) FROM c360")
+    o["int_customer_activity_summary"] = build(f"SELECT * EXCLUDE (balance_cents) {flag} FROM c360")
     o["merchant_txn_summary"] = build("""
         SELECT merchant_id, n AS total_transaction_count, cents / 100.0 AS total_transaction_amount,
                mean AS avg_transaction_amount, d AS declined_count, s AS successful_count, n30 AS transaction_count_30d,
@@ -639,7 +640,7 @@ def oracle_sql() -> dict[str, str]:
     o["churn_label"] = build("""
         SELECT customer_id, customer_status,
                CAST(CASE WHEN customer_status IN ('DORMANT', 'CLOSED') THEN 1 ELSE 0 END AS BIGINT) AS churn_label FROM cust""")
-    o["churn_features"] = build("SELECT * FROM feat")
+    o["churn_features"] = build(f"SELECT * {flag} FROM feat")
     o["auc_by_rank"] = build("""
         SELECT positives, negatives, round(wins::DOUBLE / (2.0::DOUBLE * positives * negatives), 9) AS auc FROM (
             SELECT CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives, sum(pos * (2 * below + neg)) AS wins FROM (

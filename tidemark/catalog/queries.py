@@ -28,6 +28,7 @@ from tidemark.streaming import ingest as streams
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 DAY = dt.timedelta(days=1)
+NULLABLE_FLAGS = {"has_risk_flag"}  # three-valued, shown as text
 
 
 def to_plain(df: DataFrame) -> DataFrame:
@@ -35,6 +36,8 @@ def to_plain(df: DataFrame) -> DataFrame:
 
     def plain(f: T.StructField):
         col = F.col(f"`{f.name}`")
+        if f.name in NULLABLE_FLAGS:
+            return col.cast("string").alias(f.name)
         if isinstance(f.dataType, T.DecimalType):
             return col.cast("double").alias(f.name)
         if isinstance(f.dataType, (T.DateType, T.TimestampNTZType, T.TimestampType)):
@@ -99,7 +102,7 @@ def load_lenient(m: Models) -> DataFrame:
     R.dirty_partner_lines(m.spark, m.sf_dir).select("value").write.text(stage)
     rows = files.read_ndjson_lenient(m.spark, stage)
     event = F.get_json_object(F.when(~F.col("_is_bad"), F.col("raw_payload")), "$.event_id").cast("bigint")
-    return rows.groupBy("_is_bad").agg(F.count("*").alias("n_rows"), F.sum(event).alias("event_id_sum"))
+    return rows.groupBy("_is_bad").agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(event), F.lit(0)).alias("event_id_sum"))
 
 
 @query

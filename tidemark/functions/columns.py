@@ -15,7 +15,7 @@ SUCCESS_STATUSES = ("APPROVED", "SETTLED")
 AMOUNT_LIMITS = (("MICRO", 25), ("SMALL", 200), ("MEDIUM", 1000))
 LARGEST_BUCKET = "LARGE"
 
-DECIMAL_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+DECIMAL_TEXT = "^ *[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
 
 
 def money_from_cents(cents: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import cast_strict
+from tidemark.functions.columns import DECIMAL_TEXT
 
 # field name in the JSON, name in the model, type
 Field = tuple[str, str, str]
@@ -16,11 +16,19 @@ def _object_schema(fields: list[Field]) -> T.StructType:
     return T.StructType([T.StructField(source, T.StringType()) for source, _, _ in fields])
 
 
-def _typed(obj: Column, fields: list[Field]) -> list[Column]:
-    return [
-        (obj[source] if to == "string" else cast_strict(obj[source], to, source)).alias(name)
-        for source, name, to in fields
-    ]
+def strict_cast_sql(value: str, to: str, field: str) -> str:
+    """SQL text that casts a string, failing the job on a value that does not fit."""
+    if to == "string":
+        return value
+    fits = f"try_cast({value} AS {to}) IS NOT NULL"
+    if to.startswith("decimal"):
+        fits = f"({fits} AND {value} RLIKE '{DECIMAL_TEXT}')"
+    problem = f"raise_error(concat('cannot read {field} as {to}: ', {value}))"
+    return f"CASE WHEN {value} IS NULL OR {fits} THEN try_cast({value} AS {to}) ELSE {problem} END"
+
+
+def _typed(fields: list[Field], prefix: str = "") -> list[str]:
+    return [f"{strict_cast_sql(prefix + source, to, source)} AS {name}" for source, name, to in fields]
 
 
 def is_variant(df: DataFrame, column: str) -> bool:
@@ -42,11 +50,7 @@ def extract_fields(
         return df.select(*cols, *keep)
     # inline() keeps later filters above the parse; pushed below it they would parse every row again
     parsed = df.select(F.inline(F.array(F.from_json(payload, _object_schema(fields)))), *keep)
-    typed = [
-        (F.col(source) if to == "string" else cast_strict(F.col(source), to, source)).alias(name)
-        for source, name, to in fields
-    ]
-    return parsed.select(*typed, *keep)
+    return parsed.selectExpr(*_typed(fields), *keep)
 
 
 def explode_records(
@@ -56,7 +60,7 @@ def explode_records(
     text = F.to_json(F.col(payload)) if is_variant(df, payload) else F.col(payload)
     envelope = T.StructType([T.StructField(under, T.ArrayType(_object_schema(fields)))])
     parsed = df.select(F.explode(F.from_json(text, envelope)[under]).alias("_obj"), *keep)
-    return parsed.select(*_typed(F.col("_obj"), fields), *keep)
+    return parsed.selectExpr(*_typed(fields, "_obj."), *keep)
 
 
 def has_key(payload: Column, field: str, literal: bool = False) -> Column:

@@ -34,8 +34,26 @@ CASE_STATUSES = ("OPEN", "ESCALATED", "RESOLVED", "RESOLVED")
 RATINGS = ("HIGH", "MEDIUM", "MEDIUM", "LOW", "LOW")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# The columns that tell the rows of each larger table apart.
+ROW_KEYS = {
+    "lineitem": ["l_orderkey", "l_linenumber", "l_partkey"],
+    "orders": ["o_orderkey"],
+    "customer": ["c_custkey"],
+    "events": ["event_id"],
+    "documents": ["doc_id"],
+    "pages": ["page_id"],
+    "embeddings": ["vec_id"],
+}
+FEW_SPLITS = 8
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A test table. ``spread`` is for costly work per row: a table that is read in fewer parts than
+    there are cores is spread over them first. A table of many parts is never shuffled for that."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if spread and df.rdd.getNumPartitions() < min(FEW_SPLITS, spark.sparkContext.defaultParallelism):
+        return df.repartition(FEW_SPLITS, *ROW_KEYS[name])
+    return df
 
 
 def _pick(values: tuple[str, ...], index: Column) -> Column:
@@ -53,6 +71,11 @@ def _text(col: Column) -> Column:
     return col.cast("string")
 
 
+def _rows(df: DataFrame, *columns: Column) -> DataFrame:
+    """Projects through inline(), so that a payload is built once per row however often it is read."""
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def _plus(ts: Column, days: Column | int = 0, hours: Column | int = 0) -> Column:
     day = F.lit(days) if isinstance(days, int) else days
     hour = F.lit(hours) if isinstance(hours, int) else hours
@@ -63,7 +86,7 @@ def _plus(ts: Column, days: Column | int = 0, hours: Column | int = 0) -> Column
 
 
 def raw_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=True)
     amount_cents = whole_div(cents_of(F.col("l_extendedprice")), F.lit(100))
     ts = _plus(F.col("l_shipdate"), 8120, F.col("l_partkey") % 24)
     sid = F.concat_ws(
@@ -103,7 +126,7 @@ def raw_settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def partner_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The authorization events before they are turned into JSON lines."""
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", spread=True)
     user = F.col("user_id")
     return ev.select(
         _text(F.col("event_id")).alias("event_id"),
@@ -148,7 +171,8 @@ def _four_hourly(ts: Column, folder: str) -> tuple[Column, Column]:
 
 def raw_partner_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded, name = _four_hourly(F.col("_ts"), "partner_transactions")
-    return partner_events(spark, sf_dir).select(
+    return _rows(
+        partner_events(spark, sf_dir),
         F.to_json(F.struct(*PARTNER_FIELDS)).alias("raw_payload"),
         loaded.alias("_loaded_at"),
         name.alias("_source_file"),
@@ -171,8 +195,11 @@ def dirty_partner_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n % 41 == 0, null_merchant)
         .otherwise(whole)
     )
-    return partner_events(spark, sf_dir).select(
-        line.alias("value"), loaded.alias("_loaded_at"), name.alias("_source_file")
+    return _rows(
+        partner_events(spark, sf_dir),
+        line.alias("value"),
+        loaded.alias("_loaded_at"),
+        name.alias("_source_file"),
     )
 
 
@@ -180,7 +207,7 @@ def dirty_partner_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_account_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", spread=True)
     loaded, name = _four_hourly(F.col("ts"), "account_activity")
     status = (
         F.when(F.col("event_type") == "error", "FROZEN")
@@ -195,8 +222,8 @@ def raw_account_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("USD").alias("currency"),
         _text(F.col("ts")).alias("updated_at"),
     )
-    return ev.select(
-        F.to_json(payload).alias("raw_payload"), loaded.alias("_loaded_at"), name.alias("_source_file")
+    return _rows(
+        ev, F.to_json(payload).alias("raw_payload"), loaded.alias("_loaded_at"), name.alias("_source_file")
     )
 
 
@@ -204,7 +231,7 @@ def raw_account_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_support_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     i = F.col("doc_id")
     opened = _plus(_ntz(dt.datetime(2024, 1, 1)), 0, i % 720)
     payload = F.struct(
@@ -216,7 +243,8 @@ def raw_support_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("narrative"),
         _text(opened).alias("opened_at"),
     )
-    return docs.select(
+    return _rows(
+        docs,
         F.to_json(payload).alias("raw_payload"),
         _plus(F.to_date(opened), 1, 2).alias("_loaded_at"),
         F.concat(F.lit("support_cases/"), _text(F.to_date(opened)), F.lit(".json")).alias("_source_file"),
@@ -256,7 +284,8 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rating = F.when(k % 11 != 0, _pick(RATINGS, k % 5))
     old = version(F.lit("ACTIVE"), F.lit("LOW"), created)
     new = version(status, rating, _plus(created, 30))
-    return cust.select(
+    return _rows(
+        cust,
         _envelope(F.when(k % 4 == 0, F.array(old, new)).otherwise(F.array(new))).alias("raw_payload"),
         _ntz(dt.datetime(2024, 1, 2)).alias("_loaded_at"),
         F.concat(F.lit("customers/"), _text(k % 16), F.lit(".json")).alias("_source_file"),
@@ -265,7 +294,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One envelope per account. Customers whose number ends the pattern below own none."""
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders", spread=True)
     k, owner = F.col("o_orderkey"), F.col("o_custkey")
     created = F.col("o_orderdate")
 
@@ -286,7 +315,8 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     old = version(F.lit("OPEN"), F.lit(0), created)
     new = version(status, cents_of(F.col("o_totalprice")), _plus(created, 10))
-    return orders.select(
+    return _rows(
+        orders,
         _envelope(F.when(k % 4 == 0, F.array(old, new)).otherwise(F.array(new))).alias("raw_payload"),
         _ntz(dt.datetime(2024, 1, 2)).alias("_loaded_at"),
         F.concat(F.lit("accounts/"), _text(k % 16), F.lit(".json")).alias("_source_file"),
@@ -356,7 +386,8 @@ def raw_exchange_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(_text(F.col("day")), F.lit(" 06:00:00")).alias("ingested_at"),
         F.struct(_text(F.col("day")).alias("date"), rates.alias("rates")).alias("payload"),
     )
-    return days.select(
+    return _rows(
+        days,
         F.to_json(payload).alias("raw_payload"),
         _plus(F.col("day"), 0, 6).alias("_loaded_at"),
         F.concat(F.lit("exchange_rates/"), _text(F.col("day")), F.lit(".json")).alias("_source_file"),
@@ -364,12 +395,12 @@ def raw_exchange_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_policy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    text = html_text(F.col("html"))
-    return pages.select(
-        F.col("url").alias("file_name"),
-        text.alias("extracted_text"),
-        (whole_div(F.length(text), F.lit(3000)) + 1).cast("int").alias("page_count"),
+    pages = table(spark, sf_dir, "pages", spread=True)
+    texts = _rows(pages, F.col("url").alias("file_name"), html_text(F.col("html")).alias("extracted_text"))
+    return texts.select(
+        "file_name",
+        "extracted_text",
+        (whole_div(F.length("extracted_text"), F.lit(3000)) + 1).cast("int").alias("page_count"),
         _ntz(dt.datetime(2024, 1, 2)).alias("_loaded_at"),
     )
 
