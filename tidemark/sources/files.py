@@ -152,7 +152,10 @@ def list_files(
     glob: str = "*",
     modified_after: dt.datetime | None = None,
 ) -> DataFrame:
-    """Relative path, size and modification time of the files; their content is not read."""
+    """Relative path, size and modification time of the files; their content is not read.
+
+    Files of zero bytes are not listed, as Spark reads nothing from them.
+    """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
