@@ -19,7 +19,7 @@ def auc_exact(scored: DataFrame, label: str, score: str) -> DataFrame:
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
     cuts = per_score.approxQuantile("s", [i / BUCKETS for i in range(1, BUCKETS)], 0.001)
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    splits = [-float("inf"), *sorted({0.5, *cuts}), float("inf")]
     parted = Bucketizer(splits=splits, inputCol="s", outputCol="part", handleInvalid="skip").transform(per_score)
     totals = parted.groupBy("part").agg(F.sum("neg").alias("part_neg"))
     # at most BUCKETS rows meet in this window
