@@ -98,7 +98,7 @@ def test_conversion_takes_the_rate_of_the_day_or_the_last_before(spark):
     )
     data = [("EUR", day(1)), ("EUR", day(2)), ("EUR", day(3)), ("EUR", day(9)), ("USD", day(3)), ("XXX", day(3))]
     txns = spark.createDataFrame([(c, d, Decimal("2.00")) for c, d in data], "currency string, transaction_date date, amount decimal(12,2)")
-    got = [r["amount_usd"] for r in rows(extras.fx_to_usd(txns, rates), "currency", "transaction_date")]
+    got = [r["amount_usd"] for r in rows(extras.fx_to_usd(txns, rates, F.col("amount")), "currency", "transaction_date")]
     assert got == [None, Decimal("4.00"), Decimal("4.00"), Decimal("5.00"), Decimal("2.00"), None]
 
 

@@ -78,6 +78,8 @@ def test_salted_join_spreads_a_hot_key(spark):
     plain = left.join(right, "k")
     assert out.count() == plain.count() == 12001
     assert out.exceptAll(plain).isEmpty()
+    outer = joins.lookup_join(left, right, ["k"], F.col("id"), "left", max_rows=0, salts=8)
+    assert outer.exceptAll(left.join(right, "k", "left")).isEmpty() and outer.count() == 15000
 
 
 def brute_cosine(vectors, queries, k):

@@ -147,8 +147,8 @@ def test_cdc_stream_takes_only_what_is_new(spark, tmp_path, run_ts):
 def test_dedup(spark, tmp_path):
     src, out = f"file://{tmp_path}/src", f"file://{tmp_path}/out"
     data = [("a", T0), ("a", T0 + dt.timedelta(minutes=5)), ("b", T0)]
-    df = spark.createDataFrame(data, "event_id string, t timestamp")
-    df.write.parquet(src)
+    df = spark.createDataFrame(data * 50, "event_id string, t timestamp")
+    df.repartition(5).write.parquet(src)
     S.dedup_stream(spark.readStream.schema(df.schema).parquet(src), "event_id", "t", out, f"{tmp_path}/cp")
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["a", "b"]
 

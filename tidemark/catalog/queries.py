@@ -17,7 +17,7 @@ from tidemark.plans import churn, extras, health, ingest, inventory, semantic
 from tidemark.plans import intermediate as I
 from tidemark.plans.graph import build_models
 from tidemark.plans.suite import FRESHNESS, PARITY, SUITE
-from tidemark.session import new_folder, shared_root
+from tidemark.session import new_folder, settle, shared_root
 from tidemark.sources import files
 from tidemark.sources import tables as R
 from tidemark.sources.tables import AS_OF, RUN_TS, table
@@ -754,16 +754,15 @@ def _questions(m: Models) -> DataFrame:
 @query
 def search_support_cases(m: Models) -> DataFrame:
     shown = ["customer_id", "category", "priority", "status"]
-    cases = m.stg_support_cases.withColumn("case_no", F.col("case_id").cast("bigint"))
+    cases = settle(m.stg_support_cases.withColumn("case_no", F.col("case_id").cast("bigint")), "cases")
     hits = search.search(cases, _questions(m), 5, "case_no", "narrative", shown, F.col("status") == "OPEN")
     return hits.withColumnRenamed("doc_id", "case_no")
 
 
 @query
 def search_policy_docs(m: Models) -> DataFrame:
-    hits = search.search(
-        m.raw("policy_documents"), _questions(m), 5, "file_name", "extracted_text", ["page_count"]
-    )
+    docs = settle(m.raw("policy_documents"), "documents")
+    hits = search.search(docs, _questions(m), 5, "file_name", "extracted_text", ["page_count"])
     return hits.withColumnRenamed("doc_id", "file_name")
 
 
@@ -992,7 +991,7 @@ def fx_to_usd(m: Models) -> DataFrame:
     """Transactions given a currency by merchant, converted at the rate of their day or the last before."""
     code = F.pmod(F.col("merchant_id").cast("bigint"), F.lit(26))
     priced = m.transactions.withColumn("currency", F.when(code == 25, "USD").otherwise(F.concat(F.lit("C"), code)))
-    done = extras.fx_to_usd(priced, m.stg_exchange_rates)
+    done = extras.fx_to_usd(priced, m.stg_exchange_rates, F.col("transaction_id"))
     return done.groupBy("currency").agg(
         F.count("*").alias("n"), F.count("amount_usd").alias("n_converted"), F.sum("amount_usd").alias("amount_usd")
     )

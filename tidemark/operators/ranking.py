@@ -6,18 +6,21 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import settle
+
 BUCKETS = 256
 
 
 def auc_exact(scored: DataFrame, label: str, score: str) -> DataFrame:
     """One row (positives, negatives, auc), ties counting half.
 
-    Rows shrink to one per distinct score. Score ranges of similar size are then summed apart: each
+    Rows shrink to one per distinct score, which is stored as it is read three times. Score ranges of similar size are then summed apart: each
     range needs only the number of negatives below it, which comes from at most ``BUCKETS`` totals.
     """
     per_score = scored.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
+    per_score = settle(per_score, "scores")
     cuts = per_score.approxQuantile("s", [i / BUCKETS for i in range(1, BUCKETS)], 0.001)
     splits = [-float("inf"), *sorted({0.5, *cuts}), float("inf")]
     parted = Bucketizer(splits=splits, inputCol="s", outputCol="part", handleInvalid="skip").transform(per_score)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import words
-from tidemark.operators.joins import lookup_join
+from tidemark.operators.joins import fits_broadcast, lookup_join
 
 K1, B = 1.2, 0.75
 
@@ -61,14 +61,14 @@ def bm25_topk(
     """
     terms = query_terms(queries)
     vocabulary = terms.select("term").distinct()
-    hits = lookup_join(posts, vocabulary, ["term"], F.col("doc_id"))
+    hits = lookup_join(posts, vocabulary, ["term"], F.col("doc_id"), counted=terms)
     count = F.sum("tf") if "tf" in posts.columns else F.count("*")
     tf = hits.repartition("doc_id").groupBy("doc_id", "doc_len", "term").agg(count.alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     wanted = terms.join(df, "term")
     candidates = tf if allowed is None else tf.join(allowed.select("doc_id"), "doc_id", "left_semi")
     n, total = stats.select("n").scalar(), stats.select("total_len").scalar()
-    partial = lookup_join(candidates, wanted, ["term"], F.col("doc_id")).withColumns({"_n": n, "_total": total})
+    partial = lookup_join(candidates, wanted, ["term"], F.col("doc_id"), counted=terms).withColumns({"_n": n, "_total": total})
     scored = (
         partial.groupBy("query_id", "doc_id")
         .agg(
@@ -90,12 +90,17 @@ def search(
     attributes: Sequence[str],
     where: Column | None = None,
 ) -> DataFrame:
-    """Search a table of documents and return the hits with their attributes."""
+    """Search a table of documents and return the hits with their attributes.
+
+    The table is read several times, with few columns at a time: pass a stored one.
+    """
     stats = corpus_stats(docs, text_col)
     allowed = None if where is None else docs.where(where).select(F.col(id_col).alias("doc_id"))
     top = bm25_topk(tokenise(docs, id_col, text_col), stats, queries, k, allowed)
     shown = docs.select(F.col(id_col).alias("doc_id"), *attributes)
-    return top.join(shown, "doc_id")
+    if fits_broadcast(queries, rows_each=k):
+        top = F.broadcast(top)
+    return shown.join(top, "doc_id")
 
 
 # --------------------------------------------------------------------- vectors

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
+from tidemark.operators.joins import lookup_join
+from tidemark.session import settle
 
 HASH_SEPARATOR = "\u0001"
 HASH_NULL = "\u0000"
@@ -36,19 +38,21 @@ def rates_as_of(days: DataFrame, rates: DataFrame) -> DataFrame:
     )
 
 
-def fx_to_usd(transactions: DataFrame, rates: DataFrame) -> DataFrame:
+def fx_to_usd(transactions: DataFrame, rates: DataFrame, spread_by: Column) -> DataFrame:
     """Transactions with ``amount_usd``; NULL where no rate is known yet.
 
-    Rates say how much of a currency one dollar buys, so amounts are divided by them.
+    Rates say how much of a currency one dollar buys, so amounts are divided by them. ``spread_by``
+    tells transactions apart where a busy day of one currency has to be split.
     """
     days = transactions.where(F.col("currency") != "USD").select(
         "currency", F.col("transaction_date").alias("day")
     )
-    known = rates_as_of(days, rates).withColumnRenamed("day", "transaction_date")
+    known = settle(rates_as_of(days, rates).withColumnRenamed("day", "transaction_date"), "rates")
     usd = F.when(F.col("currency") == "USD", F.col("amount")).otherwise(
         F.round(F.col("amount") / F.col("rate"), 2).cast(C.MONEY)
     )
-    return transactions.join(known, ["currency", "transaction_date"], "left").withColumn("amount_usd", usd)
+    priced = lookup_join(transactions, known, ["currency", "transaction_date"], spread_by, "left")
+    return priced.withColumn("amount_usd", usd)
 
 
 def rolling_30_60_90(

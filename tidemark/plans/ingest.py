@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import drift
 from tidemark.operators.quality import BatchLabels, batch_counters, batch_verdict, duplicate_rows
 from tidemark.sources import files
-from tidemark.state import LatestTable, exists, read_batches, remove, write_batch
+from tidemark.state import LatestTable, committed_batches, read_batches, remove, write_batch
 
 NO_NEW_FILES = "No new files to load -- all files already loaded previously."
 FILES_PER_READ = 5_000
@@ -128,11 +128,12 @@ class Lake:
         return read_batches(self.spark, self.path("audit"), AUDIT_SCHEMA).drop("batch_id")
 
     def raw(self, source: str) -> DataFrame:
-        """Rows of the batches whose load has finished: those the ledger knows."""
-        spec = SPECS[source]
-        rows = read_batches(self.spark, self.path("raw", source), spec.landing_schema)
-        finished = self.ledger(source).select("batch_id").distinct()
-        return rows.join(finished, "batch_id", "left_semi")
+        """Rows of the batches whose load has finished: those the ledger knows.
+
+        The batch names, one per run, become a filter on the folders.
+        """
+        rows = read_batches(self.spark, self.path("raw", source), SPECS[source].landing_schema)
+        return rows.where(F.col("batch_id").isin(committed_batches(self.spark, self.path("ledger", source))))
 
     def baseline_table(self) -> LatestTable:
         return LatestTable(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_root: dict[str, str] = {}
@@ -22,6 +22,7 @@ def build_session(app: str = "tidemark", cores: str = "*", **conf: str) -> Spark
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "16g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -50,3 +51,13 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name below the shared root."""
     return f"{shared_root(spark)}/tidemark/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate result that several steps read, and go on from the written table.
+
+    The work behind it then runs once, and a lost executor costs no more than rereading files.
+    """
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

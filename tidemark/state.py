@@ -49,6 +49,12 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType | str) ->
     return spark.read.schema(full).parquet(path)
 
 
+def committed_batches(spark: SparkSession, path: str) -> list[str]:
+    """Names of the batches whose write has finished."""
+    names = [n for n in child_names(spark, path) if n.startswith("batch_id=")]
+    return [n.removeprefix("batch_id=") for n in names if exists(spark, f"{path}/{n}/_SUCCESS")]
+
+
 class LatestTable:
     """One row per key, kept as a snapshot plus the batches since.
 
@@ -102,16 +108,14 @@ class LatestTable:
         return state if with_batch else state.drop("batch_id")
 
     def compact(self) -> None:
-        batches = [n.removeprefix("batch_id=") for n in child_names(self.spark, f"{self.path}/delta")]
-        batches = [b for b in batches if not b.startswith(("_", "."))]
+        batches = committed_batches(self.spark, f"{self.path}/delta")
         if batches:
             self.read(with_batch=True).write.mode("overwrite").parquet(f"{self.path}/snapshot/upto_{batches[-1]}")
 
     def pending_batches(self) -> int:
         """Batches a reader has to merge with the snapshot."""
         upto = (self._snapshot() or "upto_").removeprefix("upto_")
-        names = [n.removeprefix("batch_id=") for n in child_names(self.spark, f"{self.path}/delta")]
-        return sum(1 for n in names if n > upto and not n.startswith(("_", ".")))
+        return sum(1 for n in committed_batches(self.spark, f"{self.path}/delta") if n > upto)
 
 
 class ReplacedTable:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.columns import words
+from tidemark.operators.joins import fits_broadcast
 from tidemark.operators.search import bm25_topk, postings
+from tidemark.session import settle
 from tidemark.sources.files import ntz
 from tidemark.state import LatestTable, read_batches, write_batch
 from tidemark.streaming.ingest import batch_key, run_stream
@@ -37,13 +39,10 @@ class TextIndex:
         With ``complete=False`` the documents given are only the changed ones and nothing is dropped.
         Texts are compared by hash; only changed ones are read into words.
         """
-        hashed = docs.withColumn("content_hash", F.sha2("text", 256))
-        known = self.current().select("doc_id", F.col("content_hash").alias("known_hash"))
-        compared = hashed.join(known, "doc_id", "left")
-        changed = compared.where(~F.col("content_hash").eqNullSafe(F.col("known_hash"))).drop("known_hash")
+        changed = self._changed(docs)
         write_batch(postings(changed, "doc_id", "text"), f"{self.path}/postings", refresh)
         entries = changed.select(
-            "doc_id", "content_hash", F.size(words(F.col("text"))).alias("doc_len"), F.lit(False).alias("deleted")
+            "doc_id", F.sha2("text", 256).alias("content_hash"), F.size(words(F.col("text"))).alias("doc_len"), F.lit(False).alias("deleted")
         )
         if complete:
             gone = self.current().join(docs.select("doc_id"), "doc_id", "left_anti")
@@ -53,6 +52,17 @@ class TextIndex:
         stamped = entries.withColumns({"refresh": F.lit(refresh), "indexed_at": ntz(at)})
         self.manifest.update(stamped, refresh)
 
+    def _changed(self, docs: DataFrame) -> DataFrame:
+        """Documents that are new or differ. Only ids and hashes are joined with the manifest; the
+        texts move only if the changed ids are too many to be sent to every task."""
+        known = self.current().select("doc_id", F.col("content_hash").alias("known_hash"))
+        if known.isEmpty():
+            return docs
+        compared = docs.select("doc_id", F.sha2("text", 256).alias("content_hash")).join(known, "doc_id", "left")
+        differs = ~F.col("content_hash").eqNullSafe(F.col("known_hash"))
+        ids = settle(compared.where(differs).select("doc_id"), "changed")
+        return docs.join(F.broadcast(ids) if fits_broadcast(ids) else ids, "doc_id", "left_semi")
+
     def postings(self) -> DataFrame:
         """Words of the current documents, each from the refresh that indexed it last."""
         rows = read_batches(self.spark, f"{self.path}/postings", POSTING_SCHEMA)

@@ -113,7 +113,12 @@ def route_stream(
 def dedup_stream(
     rows: DataFrame, key: str, event_time: str, out: str, checkpoint: str, within: str = "1 day", every: str | None = None
 ) -> StreamingQuery:
-    """First arrival of each key within the watermark, appended to a parquet table."""
-    first = rows.withWatermark(event_time, within).dropDuplicatesWithinWatermark([key])
+    """First arrival of each key within the watermark, appended to a parquet table.
+
+    Copies are first dropped within the part of the input they were read in, so a key sent very often
+    reaches the second step as a few rows.
+    """
+    marked = rows.withWatermark(event_time, within).withColumn("_part", F.spark_partition_id())
+    first = marked.dropDuplicatesWithinWatermark([key, "_part"]).drop("_part").dropDuplicatesWithinWatermark([key])
     writer = first.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
     return run_stream(writer.outputMode("append"), every)
