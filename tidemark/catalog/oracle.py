@@ -316,6 +316,8 @@ def oracle_sql() -> dict[str, str]:
     o["scan_ndjson_variant"] = build("""
         SELECT account_status, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) / 100.0 AS balance,
                CAST(max(ts) AS VARCHAR) AS last_update FROM activity GROUP BY account_status""")
+    o["scan_with_source_file"] = """
+        SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS rows_without_source, TRUE AS all_from_events FROM events"""
     o["load_lenient"] = build("""
         SELECT is_bad AS _is_bad, count(*) AS n_rows, CAST(sum(CASE WHEN is_bad THEN 0 ELSE n END) AS BIGINT) AS event_id_sum
         FROM dirty GROUP BY is_bad""")
@@ -641,6 +643,9 @@ def oracle_sql() -> dict[str, str]:
         SELECT customer_id, customer_status,
                CAST(CASE WHEN customer_status IN ('DORMANT', 'CLOSED') THEN 1 ELSE 0 END AS BIGINT) AS churn_label FROM cust""")
     o["churn_features"] = build(f"SELECT * {flag} FROM feat")
+    o["churn_split"] = build("""
+        SELECT substr(md5(customer_id || ':42'), 1, 8) < 'cccccccc' AS is_train, churn_label, count(*) AS customers
+        FROM feat GROUP BY ALL""")
     o["auc_by_rank"] = build("""
         SELECT positives, negatives, round(wins::DOUBLE / (2.0::DOUBLE * positives * negatives), 9) AS auc FROM (
             SELECT CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives, sum(pos * (2 * below + neg)) AS wins FROM (

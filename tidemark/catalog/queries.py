@@ -93,7 +93,11 @@ def scan_ndjson_variant(m: Models) -> DataFrame:
 @query
 def scan_with_source_file(m: Models) -> DataFrame:
     rows = files.with_source(table(m.spark, m.sf_dir, "events"))
-    return rows.groupBy("_source_file").agg(F.count("*").alias("n_rows"))
+    return rows.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("_source_file").isNull()).alias("rows_without_source"),
+        F.bool_and(F.contains("_source_file", F.lit("/events.parquet"))).alias("all_from_events"),
+    )
 
 
 @query
