@@ -356,8 +356,7 @@ def oracle_sql() -> dict[str, str]:
     )
     listed = ", ".join(f"'{k}'" for k in partner_keys)
     o["json_key_set"] = build(f"""
-        SELECT DISTINCT unnest([{listed}]) AS column_key FROM partner
-        WHERE loaded_at >= {RUN} - INTERVAL 2 DAY""")
+        SELECT DISTINCT unnest([{listed}]) AS column_key FROM partner""")
     o["csv_header_set"] = """
         SELECT DISTINCT unnest(['settlement_id', 'transaction_id', 'account_id', 'merchant_id', 'transaction_timestamp',
             'settlement_date', 'amount', 'currency', 'settlement_status', 'fee_amount']) AS column_key FROM lineitem"""

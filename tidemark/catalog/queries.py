@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -221,11 +222,8 @@ def materialize_models(m: Models) -> DataFrame:
     """Row counts of the models written as tables."""
     built = build_models(m.spark, R.raw_tables(m.spark, m.sf_dir), AS_OF, new_folder(m.spark, "models"))
     written = {n: df for n, df in built.items() if not n.startswith("stg_")}
-    parts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("model"), "n_rows") for n, df in written.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    counted = [df.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("model"), "n_rows") for n, df in written.items()]
+    return reduce(DataFrame.unionByName, counted)
 
 
 # ------------------------------------------------------ governance and quality
@@ -233,7 +231,7 @@ def materialize_models(m: Models) -> DataFrame:
 
 @query
 def json_key_set(m: Models) -> DataFrame:
-    return drift.json_key_set(health.last_day(m.raw("partner_transactions"), RUN_TS - DAY))
+    return drift.json_key_set(m.raw("partner_transactions"))
 
 
 @query
@@ -259,27 +257,16 @@ def drift_missing_keys(m: Models) -> DataFrame:
     return drift.missing_keys(_key_baseline(m), drift.json_key_set(m.raw("partner_transactions")))
 
 
-def _required(name: str):
-    spec = ingest.SPECS[name]
-    return spec.required()
-
-
 @query
 def null_key_count(m: Models) -> DataFrame:
-    dirty = _dirty_rows(m).where("NOT _is_bad").withColumnRenamed("value", "raw_payload")
-    keys = [F.get_json_object("raw_payload", f"$.{k}") for k in routing.KEY_FIELDS]
-    parts = {
-        "settlements": quality.batch_counters(m.raw("settlements"), _required("settlements")),
-        "support_cases": quality.batch_counters(m.raw("support_cases"), _required("support_cases")),
-        "account_activity": quality.batch_counters(m.raw("account_activity"), _required("account_activity")),
-        "exchange_rates": quality.batch_counters(m.raw("exchange_rates"), _required("exchange_rates")),
-        "partner_transactions": quality.batch_counters(dirty, keys),
-    }
-    out = None
-    for name, counted in parts.items():
-        row = counted.select(F.lit(name).alias("source_name"), "null_rows")
-        out = row if out is None else out.unionByName(row)
-    return out
+    feeds = {name: (m.raw(name), spec) for name, spec in ingest.SPECS.items()}
+    partner = ingest.SourceSpec("partner_transactions", quality.BatchLabels("", ""), routing.KEY_FIELDS)
+    feeds["partner_transactions"] = (_readable_dirty(m), partner)
+    counted = [
+        quality.batch_counters(spec.keys(rows), spec.required).select(F.lit(name).alias("source_name"), "null_rows")
+        for name, (rows, spec) in feeds.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
 
 
 @query
@@ -436,12 +423,12 @@ def stream_health(m: Models) -> DataFrame:
 
 @query
 def source_freshness(m: Models) -> DataFrame:
-    out = None
-    for name, (warn, error) in FRESHNESS.items():
-        row = quality.freshness(m.raw(name), "_loaded_at", RUN_TS + dt.timedelta(hours=9), warn, error)
-        row = row.select(F.lit(name).alias("source_name"), "*")
-        out = row if out is None else out.unionByName(row)
-    return out
+    now = RUN_TS + dt.timedelta(hours=9)
+    checked = [
+        quality.freshness(m.raw(name), "_loaded_at", now, warn, error).select(F.lit(name).alias("source_name"), "*")
+        for name, (warn, error) in FRESHNESS.items()
+    ]
+    return reduce(DataFrame.unionByName, checked)
 
 
 @query

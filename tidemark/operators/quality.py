@@ -65,10 +65,23 @@ def rowcount_parity_failures(summary: DataFrame, source: DataFrame) -> DataFrame
 # --------------------------------------------------------------- batch counters
 
 
-def batch_counters(df: DataFrame, required: Sequence[Column]) -> DataFrame:
-    """Row count and rows with any required value missing, in one pass."""
-    missing = reduce(lambda a, b: a | b, [c.isNull() for c in required])
-    return df.agg(F.count("*").alias("rows_loaded"), F.count_if(missing).alias("null_rows"))
+def batch_counters(keys: DataFrame, required: Sequence[str], unique: str | None = None) -> DataFrame:
+    """One row with rows, rows lacking a required key, and rows beyond the first of each unique key.
+
+    All three come from one scan: rows shrink to one per key and task before the shuffle.
+    """
+    missing = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in required])
+    if unique is None:
+        return keys.agg(
+            F.count("*").alias("rows_loaded"),
+            F.count_if(missing).alias("null_rows"),
+            F.lit(0).cast("bigint").alias("duplicate_rows"),
+        )
+    per_key = keys.groupBy(unique).agg(F.count("*").alias("n"), F.count_if(missing).alias("m"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return per_key.agg(
+        total("n").alias("rows_loaded"), total("m").alias("null_rows"), total(F.col("n") - 1).alias("duplicate_rows")
+    )
 
 
 def duplicate_rows(df: DataFrame, key: Column) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -108,17 +109,26 @@ def search(
 QUERIES_PER_PASS = 1024
 
 
-def _top_of_batch(
-    ids: np.ndarray, corpus: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int
-) -> pd.DataFrame:
-    norms = np.linalg.norm(corpus, axis=1)
-    unit = np.divide(corpus, norms[:, None], out=np.zeros_like(corpus), where=norms[:, None] > 0)
-    scores = np.round(queries @ unit.T, 6)
-    parts = []
-    for q, row in enumerate(scores):
-        best = np.lexsort((ids, -row))[:k]
-        parts.append(pd.DataFrame({"query_id": query_ids[q], "doc_id": ids[best], "score": row[best]}))
-    return pd.concat(parts, ignore_index=True)
+def _batch_ranker(
+    query_ids: np.ndarray, queries: np.ndarray, k: int
+) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A task's work as one self-contained function: best k of each batch per query."""
+
+    def best(ids: np.ndarray, corpus: np.ndarray) -> Iterator[pd.DataFrame]:
+        norms = np.linalg.norm(corpus, axis=1)[:, None]
+        unit = np.divide(corpus, norms, out=np.zeros_like(corpus), where=norms > 0)
+        for q, row in enumerate(np.round(queries @ unit.T, 6)):
+            top = np.lexsort((ids, -row))[:k]
+            yield pd.DataFrame({"query_id": query_ids[q], "doc_id": ids[top], "score": row[top]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch.dropna()
+            if len(batch):
+                vectors = np.stack(batch["vector"].to_numpy()).astype(np.float64)
+                yield pd.concat(best(batch["doc_id"].to_numpy(), vectors), ignore_index=True)
+
+    return run
 
 
 def vector_topk(
@@ -130,8 +140,6 @@ def vector_topk(
     queries of one request travel with the task; long lists are cut into passes, so a task holds no
     more than a thousand query vectors at a time.
     """
-    from functools import reduce
-
     schema = T.StructType(
         [
             T.StructField("query_id", T.LongType()),
@@ -146,15 +154,9 @@ def vector_topk(
         matrix = np.array([v for _, v in part], dtype=np.float64)
         lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
         matrix = np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
+        return narrow.mapInPandas(_batch_ranker(query_ids, matrix, k), schema)
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                batch = batch.dropna()
-                if len(batch):
-                    vectors = np.stack(batch["vector"].to_numpy()).astype(np.float64)
-                    yield _top_of_batch(batch["doc_id"].to_numpy(), vectors, query_ids, matrix, k)
-
-        return narrow.mapInPandas(run, schema)
-
+    if not queries:
+        raise ValueError("no query vectors")
     passes = [queries[i : i + QUERIES_PER_PASS] for i in range(0, len(queries), QUERIES_PER_PASS)]
     return rank_top(reduce(DataFrame.unionByName, [one_pass(p) for p in passes]), k)

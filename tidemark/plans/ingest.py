@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.payload import extract_fields
 from tidemark.operators import drift
-from tidemark.operators.quality import BatchLabels, batch_counters, batch_verdict, duplicate_rows
+from tidemark.operators.quality import BatchLabels, batch_counters, batch_verdict
 from tidemark.sources import files
 from tidemark.state import LatestTable, committed_batches, read_batches, remove, write_batch
 
@@ -44,18 +45,14 @@ class ValidationFailed(RuntimeError):
     """A batch did not pass its checks; nothing of it was promoted."""
 
 
-def _json_path(path: str) -> Column:
-    return F.get_json_object("raw_payload", path)
-
-
 @dataclass(frozen=True)
 class SourceSpec:
     """What differs between the batch sources."""
 
     name: str
     labels: BatchLabels
-    required: Callable[[], list[Column]]
-    unique: Callable[[], Column] | None = None
+    required: tuple[str, ...]  # columns, top-level JSON fields, or a JSON path starting with $
+    unique: str | None = None
     is_csv: bool = False
     counted: str = "row(s)"
 
@@ -63,6 +60,15 @@ class SourceSpec:
     def glob(self) -> str:
         return "*.csv" if self.is_csv else "*"
 
+    def keys(self, landed: DataFrame) -> DataFrame:
+        """The required fields of each row, parsed once."""
+        if self.is_csv:
+            return landed.select(*self.required)
+        paths = [f for f in self.required if f.startswith("$")]
+        if paths:
+            return landed.select(*[F.get_json_object("raw_payload", p).alias(p) for p in paths])
+        return extract_fields(landed, [(f, f, "string") for f in self.required], [])
+
     @property
     def landing_schema(self) -> str:
         return CSV_LANDING if self.is_csv else JSON_LANDING
@@ -76,8 +82,8 @@ SETTLEMENTS = SourceSpec(
         " rows with missing settlement_id/account_id/merchant_id.",
         " duplicate settlement_id(s) found.",
     ),
-    lambda: [F.col("settlement_id"), F.col("account_id"), F.col("merchant_id")],
-    lambda: F.col("settlement_id"),
+    ("settlement_id", "account_id", "merchant_id"),
+    "settlement_id",
     is_csv=True,
 )
 SUPPORT_CASES = SourceSpec(
@@ -87,18 +93,18 @@ SUPPORT_CASES = SourceSpec(
         " rows with missing case_id/customer_id.",
         " duplicate case_id(s) found.",
     ),
-    lambda: [_json_path("$.case_id"), _json_path("$.customer_id")],
-    lambda: _json_path("$.case_id"),
+    ("case_id", "customer_id"),
+    "case_id",
 )
 ACCOUNT_ACTIVITY = SourceSpec(
     "account_activity",
     BatchLabels("Schema drift: missing fields ", " rows with missing account_id."),
-    lambda: [_json_path("$.account_id")],
+    ("account_id",),
 )
 EXCHANGE_RATES = SourceSpec(
     "exchange_rates",
     BatchLabels("Schema drift: missing fields ", " rows with null/empty rates payload."),
-    lambda: [F.col("raw_payload"), _json_path("$.payload.rates")],
+    ("$.payload.rates",),
     counted="file(s)",
 )
 SPECS = {s.name: s for s in (SETTLEMENTS, SUPPORT_CASES, ACCOUNT_ACTIVITY, EXCHANGE_RATES)}
@@ -202,10 +208,8 @@ def _audit_row(spark: SparkSession, counters: DataFrame, source: str, run_ts: dt
 
 def _counters(spec: SourceSpec, landed: DataFrame, missing: DataFrame) -> DataFrame:
     """One row with all counters of a batch."""
-    parts = batch_counters(landed, spec.required()).withColumn("duplicate_rows", F.lit(0).cast("bigint"))
-    if spec.unique is not None:
-        parts = parts.withColumn("duplicate_rows", duplicate_rows(landed, spec.unique()).scalar())
-    return parts.withColumn("missing_keys", drift.key_list(missing).scalar())
+    counted = batch_counters(spec.keys(landed), spec.required, spec.unique)
+    return counted.withColumn("missing_keys", drift.key_list(missing).scalar())
 
 
 def validate_and_load(
