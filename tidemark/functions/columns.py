@@ -15,8 +15,6 @@ SUCCESS_STATUSES = ("APPROVED", "SETTLED")
 AMOUNT_LIMITS = (("MICRO", 25), ("SMALL", 200), ("MEDIUM", 1000))
 LARGEST_BUCKET = "LARGE"
 
-DECIMAL_TEXT = "^ *[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
-
 
 def money_from_cents(cents: Column) -> Column:
     """Whole cents to decimal(12,2) without passing through a double."""
@@ -29,18 +27,13 @@ def cents_of(value: Column, factor: int = 100) -> Column:
 
 def cast_strict(text: Column, to: str, field: str) -> Column:
     """Cast text, failing the job on a value that does not fit the type."""
-    typed = text.try_cast(to)
-    ok = text.isNull() | typed.isNotNull()
-    if to.startswith("decimal"):
-        ok = text.isNull() | (text.rlike(DECIMAL_TEXT) & typed.isNotNull())
     problem = F.concat(F.lit(f"cannot read {field} as {to}: "), text)
-    return F.when(ok, typed).otherwise(F.raise_error(problem).cast(to))
+    return F.coalesce(text.try_cast(to), F.when(text.isNotNull(), F.raise_error(problem)))
 
 
 def cast_lenient(text: Column, to: str) -> Column:
     """Cast text, giving NULL for a value that does not fit the type."""
-    typed = text.try_cast(to)
-    return F.when(text.rlike(DECIMAL_TEXT), typed) if to.startswith("decimal") else typed
+    return text.try_cast(to)
 
 
 def day_of_week(ts: Column) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import DECIMAL_TEXT
 
 # field name in the JSON, name in the model, type
 Field = tuple[str, str, str]
@@ -20,11 +19,8 @@ def strict_cast_sql(value: str, to: str, field: str) -> str:
     """SQL text that casts a string, failing the job on a value that does not fit."""
     if to == "string":
         return value
-    fits = f"try_cast({value} AS {to}) IS NOT NULL"
-    if to.startswith("decimal"):
-        fits = f"({fits} AND {value} RLIKE '{DECIMAL_TEXT}')"
     problem = f"raise_error(concat('cannot read {field} as {to}: ', {value}))"
-    return f"CASE WHEN {value} IS NULL OR {fits} THEN try_cast({value} AS {to}) ELSE {problem} END"
+    return f"coalesce(try_cast({value} AS {to}), CASE WHEN {value} IS NOT NULL THEN {problem} END)"
 
 
 def _typed(fields: list[Field], prefix: str = "") -> list[str]:
