@@ -39,6 +39,31 @@ def test_landing_and_restart(spark, tmp_path, run_ts):
     assert sorted(json.loads(r["raw_payload"])["event_id"] for r in rows(S.landed(spark, out))) == ["e1", "e2", "e3"]
 
 
+def test_repeated_micro_batch_is_not_seen_twice(spark, tmp_path, run_ts):
+    src, out, routed = tmp_path / "in", f"file://{tmp_path}/out", f"file://{tmp_path}/routed"
+    lines(src, "a.json", [event(1), event(2)])
+
+    def run():
+        S.land_stream(S.read_line_stream(spark, str(src)), out, f"{out}/checkpoint", run_ts)
+        S.route_stream(S.raw_stream(spark, out), routed, f"{routed}/checkpoint")
+
+    run()
+    for commit in (tmp_path / "out" / "checkpoint" / "commits").iterdir():
+        commit.unlink()  # as if the driver was lost just before it noted the batch as done
+    lines(src, "b.json", [event(3)])
+    run()
+    assert S.landed(spark, out).count() == 3
+    assert S.landed(spark, routed, "clean").count() == 3
+
+
+def test_output_of_another_checkpoint_is_refused(spark, tmp_path, run_ts):
+    src, out = tmp_path / "in", f"file://{tmp_path}/out"
+    lines(src, "a.json", [event(1)])
+    S.land_stream(S.read_line_stream(spark, str(src)), out, f"{out}/one", run_ts)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        S.land_stream(S.read_line_stream(spark, str(src)), out, f"{out}/two", run_ts)
+
+
 def test_routing_is_complete_and_disjoint(spark, tmp_path, run_ts):
     src, out, routed = tmp_path / "in", f"file://{tmp_path}/out", f"file://{tmp_path}/routed"
     lines(src, "a.json", [event(1), event(2, account_id="absent"), event(3, merchant_id=None), "5\n"])
@@ -169,6 +194,9 @@ def test_index_follows_changes_and_deletions(spark, tmp_path, run_ts):
     assert {r.doc_id: r.refresh for r in index.current().collect()} == {1: "r1", 2: "r2", 4: "r2"}
     index.refresh(docs(spark, {1: "red red fox", 2: "green fox", 4: "new"}), "r3", run_ts)
     assert "r3" not in {r.refresh for r in index.current().collect()}
+    index.refresh(docs(spark, {1: "red red fox", 2: "green fox", 4: "new"}), "r2", run_ts)
+    assert words_of(index)[(2, "green")] == 1
+    assert index.lag(run_ts + dt.timedelta(hours=3), dt.timedelta(hours=2)).first().status == "warn"
     index.refresh(docs(spark, {3: "gone"}), "r4", run_ts, complete=False)
     assert index.current().count() == 4
 

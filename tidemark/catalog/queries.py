@@ -798,6 +798,15 @@ def index_manifest(m: Models) -> DataFrame:
     return idx.current().groupBy("refresh", "indexed_at").agg(F.count("*").alias("documents"), F.sum("doc_len").alias("words"))
 
 
+@query
+def index_lag(m: Models) -> DataFrame:
+    """A day-old index against a lag of an hour, next to how many documents it holds."""
+    idx = index.TextIndex(m.spark, new_folder(m.spark, "index"))
+    idx.refresh(_documents(m), "r1", RUN_TS - DAY)
+    documents = idx.current().agg(F.count("*").alias("n")).scalar()
+    return idx.lag(RUN_TS, dt.timedelta(hours=1)).withColumn("documents", documents)
+
+
 # ----------------------------------------------------------------------- churn
 
 
@@ -859,6 +868,14 @@ def churn_train(m: Models) -> DataFrame:
     return churn.training_log_latest(registry)
 
 
+@query
+def training_log_latest(m: Models) -> DataFrame:
+    registry = _registry(m)
+    if registry.default() is None:
+        churn.churn_train(_mart_table(m).read(), registry, RUN_TS)
+    return churn.training_log_latest(registry)
+
+
 @query
 def churn_score(m: Models) -> DataFrame:
     registry, mart = _registry(m), _mart_table(m)

@@ -40,6 +40,16 @@ def write_batch(df: DataFrame, path: str, batch_id: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def write_batch_once(df: DataFrame, path: str, batch_id: str) -> None:
+    """Like ``write_batch``, but leaves a finished batch as it is.
+
+    For streams that others follow: a repeated micro-batch holds the same rows, and rewriting them
+    under new file names would show them to the followers a second time.
+    """
+    if not exists(df.sparkSession, f"{path}/batch_id={batch_id}/_SUCCESS"):
+        write_batch(df, path, batch_id)
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """All batches with their ``batch_id``; an empty table before the first."""
     fields = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)

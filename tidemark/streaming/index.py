@@ -10,10 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.columns import words
 from tidemark.operators.joins import fits_broadcast
+from tidemark.operators.quality import freshness
 from tidemark.operators.search import bm25_topk, postings
 from tidemark.session import settle
 from tidemark.sources.files import ntz
-from tidemark.state import LatestTable, read_batches, write_batch
+from tidemark.state import LatestTable, committed_batches, read_batches, write_batch
 from tidemark.streaming.ingest import batch_key, run_stream
 
 MANIFEST_SCHEMA = (
@@ -37,8 +38,11 @@ class TextIndex:
         """Index the documents (doc_id, text) that are new or differ, and drop the absent ones.
 
         With ``complete=False`` the documents given are only the changed ones and nothing is dropped.
-        Texts are compared by hash; only changed ones are read into words.
+        Texts are compared by hash; only changed ones are read into words. A refresh that has already
+        finished under this name is left as it is.
         """
+        if refresh in committed_batches(self.spark, f"{self.path}/manifest/delta"):
+            return
         changed = self._changed(docs)
         write_batch(postings(changed, "doc_id", "text"), f"{self.path}/postings", refresh)
         entries = changed.select(
@@ -72,6 +76,10 @@ class TextIndex:
     def stats(self) -> DataFrame:
         return self.current().agg(F.count("*").alias("n"), F.sum("doc_len").alias("total_len"))
 
+    def lag(self, run_ts: dt.datetime, target: dt.timedelta) -> DataFrame:
+        """Age of the newest refresh against the promised lag; twice the lag is an error."""
+        return freshness(self.manifest.read(), "indexed_at", run_ts, target, 2 * target)
+
     def search(self, queries: DataFrame, k: int, allowed: DataFrame | None = None) -> DataFrame:
         return bm25_topk(self.postings(), self.stats(), queries, k, allowed)
 

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.routing import KEY_FIELDS, classify, readable_json
 from tidemark.plans.health import load_history
 from tidemark.sources.files import ntz
-from tidemark.state import read_batches, write_batch
+from tidemark.state import committed_batches, exists, read_batches, write_batch_once
 
 RAW_SCHEMA = "raw_payload string, _source_file string, _loaded_at timestamp_ntz"
 HISTORY_SCHEMA = "_source_file string, row_count bigint, error_count bigint, last_load_time timestamp_ntz"
@@ -31,6 +31,12 @@ def run_stream(writer, every: str | None) -> StreamingQuery:
     return query
 
 
+def check_ownership(spark: SparkSession, out: str, checkpoint: str) -> None:
+    """Micro-batches are numbered by the checkpoint, so a new one must not write over another's batches."""
+    if committed_batches(spark, out) and not exists(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{out} was written under another checkpoint than {checkpoint}")
+
+
 def read_line_stream(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     return (
         spark.readStream.format("text")
@@ -54,6 +60,8 @@ def land_stream(
     Each micro-batch owns its folders, so a repeated one replaces what it wrote before.
     """
 
+    check_ownership(lines.sparkSession, f"{out}/raw", checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         stamp = ntz(run_ts) if run_ts is not None else F.current_timestamp().cast("timestamp_ntz")
         if "_loaded_at" not in batch.columns:
@@ -66,9 +74,9 @@ def land_stream(
         )
         rows.persist()
         try:
-            write_batch(rows.where("NOT _is_bad").drop("_is_bad"), f"{out}/raw", batch_key(batch_id))
-            write_batch(rows.where("_is_bad").drop("_is_bad"), f"{out}/rejects", batch_key(batch_id))
-            write_batch(load_history(rows), f"{out}/history", batch_key(batch_id))
+            write_batch_once(rows.where("NOT _is_bad").drop("_is_bad"), f"{out}/raw", batch_key(batch_id))
+            write_batch_once(rows.where("_is_bad").drop("_is_bad"), f"{out}/rejects", batch_key(batch_id))
+            write_batch_once(load_history(rows), f"{out}/history", batch_key(batch_id))
         finally:
             rows.unpersist()
 
@@ -98,11 +106,13 @@ def route_stream(
 ) -> StreamingQuery:
     """Rows with all key fields to ``clean``, the others to ``quarantine``."""
 
+    check_ownership(rows.sparkSession, f"{out}/clean", checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         tagged = classify(batch, KEY_FIELDS, literal=literal).persist()
         try:
-            write_batch(tagged.where("_is_clean").drop("_is_clean"), f"{out}/clean", batch_key(batch_id))
-            write_batch(tagged.where("NOT _is_clean").drop("_is_clean"), f"{out}/quarantine", batch_key(batch_id))
+            write_batch_once(tagged.where("_is_clean").drop("_is_clean"), f"{out}/clean", batch_key(batch_id))
+            write_batch_once(tagged.where("NOT _is_clean").drop("_is_clean"), f"{out}/quarantine", batch_key(batch_id))
         finally:
             tagged.unpersist()
 
