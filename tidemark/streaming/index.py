@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.columns import words
 from tidemark.operators.joins import fits_broadcast
 from tidemark.operators.quality import freshness
 from tidemark.operators.search import bm25_topk, postings
@@ -45,8 +44,12 @@ class TextIndex:
             return
         changed = self._changed(docs)
         write_batch(postings(changed, "doc_id", "text"), f"{self.path}/postings", refresh)
-        entries = changed.select(
-            "doc_id", F.sha2("text", 256).alias("content_hash"), F.size(words(F.col("text"))).alias("doc_len"), F.lit(False).alias("deleted")
+        # lengths come from the stored postings, which spares reading the texts into words again
+        indexed = self.spark.read.schema(POSTING_SCHEMA).parquet(f"{self.path}/postings/batch_id={refresh}")
+        lengths = indexed.groupBy("doc_id").agg(F.max("doc_len").alias("doc_len"))
+        hashes = changed.select("doc_id", F.sha2("text", 256).alias("content_hash"))
+        entries = hashes.join(lengths, "doc_id", "left").select(
+            "doc_id", "content_hash", F.coalesce("doc_len", F.lit(0)).alias("doc_len"), F.lit(False).alias("deleted")
         )
         if complete:
             gone = self.current().join(docs.select("doc_id"), "doc_id", "left_anti")
