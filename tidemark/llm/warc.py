@@ -3,7 +3,7 @@
 ``write_archive`` decides on headers alone: (id, digest, length) rows meet by payload digest, the
 smallest id of a digest becomes the response, and the others become revisit records that refer to it.
 The decisions then meet the pages once, and Spark's text writer writes one record per row with fresh
-headers; its line separator is the blank line that ends a WARC record. ``read_archive`` reads whole
+headers, gzipped per file; its line separator is the blank line that ends a WARC record. ``read_archive`` reads whole
 files, walks the records by Content-Length, digests the payloads anew, and joins each revisit to its
 response for the length of the full payload.
 
@@ -19,6 +19,7 @@ null; control characters and blanks in a URL are percent-coded; an empty table g
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -93,6 +94,7 @@ def write_archive(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT, f
         files.join(revisits, ["page_id", "digest"], "left")
         .select(_record().alias("value"))
         .write.option("lineSep", END)
+        .option("compression", "gzip")
         .text(path)
     )
 
@@ -125,7 +127,7 @@ def _parse(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa
         for content in batch.column(0):
             out: list[tuple] = []
             size = 0
-            for head, block in records(content.as_py()):
+            for head, block in records(gzip.decompress(content.as_py())):
                 digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
                 length = payload = None
                 if head["WARC-Type"] == "response":
