@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_matrix, exact_dedup, packing, warc, wavelet
+from tidemark.llm import bpe_matrix, exact_dedup, packing, simhash_bytes, topk_lists, warc, wavelet
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +21,16 @@ def query(name: str):
     return register
 
 
+@query("op3_topk_sorted_lists")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_lists.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op4_simhash_bytes")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_bytes.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op5_pack_first_fit")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -47,6 +58,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE = {
+    "op3_topk_sorted_lists": """
+        WITH v AS (
+            SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_sum([p[1] * p[2] for p in list_zip(q.v, c.v)]) AS BIGINT) AS score
+            FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 20 = 0
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+    """,
     "op6_warc_revisits": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS n FROM pages

@@ -52,12 +52,11 @@ class WaveletMatrix:
     def of(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
         planes, rest = [], ids
         for level in range(bits):
-            bit = (rest >> (bits - 1 - level)) & 1
+            one = (rest & rest.dtype.type(1 << (bits - 1 - level))) != 0
             packed = np.zeros((len(ids) // BLOCK + 1) * BLOCK // 8, np.uint8)
-            data = np.packbits(bit.astype(np.uint8))
+            data = np.packbits(one)
             packed[: len(data)] = data
             planes.append(packed)
-            one = bit.astype(bool)
             rest = np.concatenate([rest[~one], rest[one]])
         return cls(len(ids), planes)
 
@@ -93,12 +92,13 @@ class WaveletMatrix:
 
     def sequence(self) -> np.ndarray:
         """All ids in order: the stable partings undone from the last plane up."""
-        out = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        out = np.zeros(self.n, kind)
         for level in range(len(self.planes) - 1, -1, -1):
-            one = np.unpackbits(self.planes[level], count=self.n).astype(bool)
+            one = np.unpackbits(self.planes[level], count=self.n).view(bool)
             before = np.empty_like(out)
             zeros = self.zeros[level]
-            before[~one], before[one] = out[:zeros], out[zeros:] | np.uint32(1 << (len(self.planes) - 1 - level))
+            before[~one], before[one] = out[:zeros], out[zeros:] | kind(1 << (len(self.planes) - 1 - level))
             out = before
         return out
 
