@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_matrix, exact_dedup, packing, simhash_bytes, topk_lists, warc, wavelet
+from tidemark.llm import bpe_matrix, exact_dedup, language, packing, simhash_bytes, suffix_dedup, topk_lists, warc, wavelet
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,14 @@ def query(name: str):
     return register
 
 
+@query("op2_language_families")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language.train(documents.where(~language.held_out()).select("doc_id", "text", "lang"))
+    found = language.identify(documents, model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query("op3_topk_sorted_lists")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_lists.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -47,6 +55,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_matrix.round_trip(table(spark, sf_dir, "documents"))
 
 
+@query("op8_repeated_strings")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.dedup_strings(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op9_exact_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
