@@ -13,7 +13,8 @@ collection. Texts are therefore first cut into pieces that can be ordered apart:
   strings have equal anchors at equal places. Strings that follow each other mostly share an anchor and
   form one piece, of ``length`` to 2 * ``length`` - ``ANCHOR`` bytes.
 * Anchors are shuffled by hash as narrow rows and read sequentially in sorted order; those that occur
-  once are dropped. Only pieces with a repeated anchor have their bytes sent, sorted by anchor.
+  once are dropped. Of equal anchors in one batch of texts only the first goes by hash, with their
+  number, and the others are spread: they are known to be repeated. Only pieces with a repeated anchor have their bytes sent, sorted by anchor.
 * Pieces with one anchor are aligned at it, so rounds are columns: at most 2 * ``length`` - ``ANCHOR``
   of them, whatever the length of the texts. The hash only gathers; bytes decide.
 
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, texts_of
+from tidemark.llm.common import BROADCAST_ROWS, slices, texts_of
 from tidemark.session import settle
 
 LENGTH = 200
@@ -46,6 +47,7 @@ TASK_PIECES = 20_000
 HOT_PIECES = 50_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _PIECES = "hash long, row long, start long, strings int, shift int"
+_ANCHORS = _PIECES + ", n long, spread long"
 
 
 def _powers(n: int, base: int) -> np.ndarray:
@@ -182,13 +184,25 @@ def _groups(batches: Iterator[pa.RecordBatch], column: str, at_least: int) -> It
         yield pa.Table.from_batches(rest)
 
 
-def _repeated_only(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.RecordBatch]:
-    for table in _groups(batches, "hash", TASK_PIECES):
-        values = table.column("hash").to_numpy()
-        starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-        sizes = np.diff(np.append(starts, len(values)))
-        each = np.repeat(sizes, sizes)
-        table = table.append_column("hot", pa.array(each > hot)).filter(pa.array(each > 1))
+def _counted(hashes: np.ndarray) -> np.ndarray:
+    """For the first of equal hashes how many there are, 0 for the others."""
+    _, first, counts = np.unique(hashes, return_index=True, return_counts=True)
+    out = np.zeros(len(hashes), np.int64)
+    out[first] = counts
+    return out
+
+
+def _repeated_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Anchors that occur more than once, with how often; 0 for those counted with another of their batch."""
+    for table in _groups(batches, "spread", TASK_PIECES):
+        n = table.column("n").to_numpy()
+        table = table.drop_columns(["n", "spread"])
+        values = table.column("hash").to_numpy()[n > 0]
+        starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, int)
+        total = np.zeros(len(n), np.int64)
+        if len(starts):
+            total[n > 0] = np.repeat(np.add.reduceat(n[n > 0], starts), np.diff(np.append(starts, len(values))))
+        table = table.append_column("total", pa.array(total)).filter(pa.array((n == 0) | (total > 1)))
         yield from table.to_batches(max_chunksize=50_000)
 
 
@@ -219,17 +233,20 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             text, begin, strings, shift, hashes = find_pieces(texts, length, anchor)
             rows = batch.column("row").to_numpy()[text] if len(text) else np.zeros(0, np.int64)
-            columns = [hashes, rows, begin, strings.astype(np.int32), shift.astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["hash", "row", "start", "strings", "shift"])
+            n = _counted(hashes)
+            spread = np.where(n > 0, hashes, (rows * 31 + begin) * np.int64(0x9E3779B97F4A7C1))
+            columns = [hashes, rows, begin, strings.astype(np.int32), shift.astype(np.int32), n, spread]
+            names = ["hash", "row", "start", "strings", "shift", "n", "spread"]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["hash", "row", "start", "strings", "shift", "hot", "piece"]
+        names = ["hash", "row", "start", "strings", "shift", "piece"]
         for batch in slices(batches, "text", BATCH_BYTES):
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             runs = batch.column("runs")
             counts = np.diff(runs.offsets.to_numpy())
             flat = runs.flatten()
-            fields = {name: flat.field(name) for name in ("hash", "start", "strings", "shift", "hot")}
+            fields = {name: flat.field(name) for name in ("hash", "start", "strings", "shift")}
             begin, strings = fields["start"].to_numpy(), fields["strings"].to_numpy()
             which = np.repeat(np.arange(len(texts)), counts)
             cut = [texts[i][a : a + k + length - 1] for i, a, k in zip(which.tolist(), begin.tolist(), strings.tolist())]
@@ -247,17 +264,21 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
                     [pa.array(digests, pa.binary()), pa.array([row["row"]] * len(starts)), pa.array(starts)], ["digest", "row", "start"]
                 )
 
-    found = keyed.select("row", "text").mapInArrow(anchors, _PIECES)
-    sorted_anchors = found.repartition("hash").sortWithinPartitions("hash")
-    repeated = sorted_anchors.mapInArrow(lambda rows: _repeated_only(rows, hot), _PIECES + ", hot boolean")
-    runs = repeated.groupBy("row").agg(F.collect_list(F.struct("hash", "start", "strings", "shift", "hot")).alias("runs"))
+    found = keyed.select("row", "text").mapInArrow(anchors, _ANCHORS)
+    repeated = found.repartition("spread").sortWithinPartitions("spread").mapInArrow(_repeated_only, _PIECES + ", total long")
+    runs = repeated.groupBy("row").agg(F.collect_list(F.struct("hash", "start", "strings", "shift", "total")).alias("runs"))
     runs = settle(runs, "pieces")
-    cut = keyed.select("row", "text").join(runs, "row").mapInArrow(pieces, _PIECES + ", hot boolean, piece binary")
-    usual = cut.where("not hot").drop("hot").repartition("hash").sortWithinPartitions("hash")
+    cut = keyed.select("row", "text").join(runs, "row").mapInArrow(pieces, _PIECES + ", piece binary")
+    often = runs.select(F.explode("runs").alias("run")).where(F.col("run.total") > hot).select("run.hash").distinct()
+    often = settle(often, "hot-anchors")
+    n_often = often.limit(BROADCAST_ROWS + 1).count()
+    often = F.broadcast(often) if n_often <= BROADCAST_ROWS else often
+    usual = cut.join(often, "hash", "left_anti") if n_often else cut
+    usual = usual.repartition("hash").sortWithinPartitions("hash")
     spans = usual.mapInArrow(lambda rows: _columnwise(rows, length, anchor), "row long, start long, stop long")
-    if runs.where(F.exists("runs", lambda x: x["hot"])).isEmpty():
+    if not n_often:
         return spans
-    strings = cut.where("hot").mapInArrow(strings_of, "digest binary, row long, start long")
+    strings = cut.join(often, "hash", "left_semi").mapInArrow(strings_of, "digest binary, row long, start long")
     many = strings.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
     return spans.unionByName(strings.join(many, "digest").select("row", "start", (F.col("start") + length).alias("stop")))
 
