@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_matrix, exact_dedup, language, packing, simhash_bytes, suffix_dedup, topk_lists, warc, wavelet
+from tidemark.llm import bpe_matrix, exact_dedup, language, packing, quality_ngram, simhash_bytes, suffix_dedup, topk_lists, warc, wavelet
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,13 @@ def query(name: str):
     return register
 
 
+@query("op1_quality_kneser_ney")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
+    judged = quality_ngram.judge(table(spark, sf_dir, "documents"), trusted)
+    return judged.select("doc_id", "lang", "n_bytes", "perplexity", "limit", "keep")
+
+
 @query("op2_language_families")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")

@@ -36,8 +36,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import BROADCAST_ROWS, slices, texts_of
+from tidemark.llm.common import BROADCAST_ROWS, slices
 from tidemark.session import settle
 
 LENGTH = 200
@@ -217,8 +218,11 @@ def _columnwise(batches: Iterator[pa.RecordBatch], length: int, anchor: int) ->
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Texts with a ``row`` of their own: the id, unless ids repeat or are missing."""
-    texts = texts_of(docs, id_col, text_col)
+    """Texts with a ``row`` of their own (the id, unless ids repeat or are missing) and their whole input row."""
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.struct(*others).alias("source")
+    )
     ids = texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     if ids.where("n > 1 or doc_id is null").isEmpty():
         return texts.withColumn("row", F.col("doc_id"))
@@ -310,12 +314,41 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
 
+def _found(keyed: DataFrame, length: int, anchor: int | None) -> DataFrame:
+    found = repeated_spans(keyed, length, anchor or max(1, length * ANCHOR // LENGTH))
+    return found.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+
+
 def dedup_strings(
     docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", anchor: int | None = None
 ) -> DataFrame:
     """``doc_id, kept, n_bytes, n_removed, n_spans`` per row, ``kept`` being the bytes that stay."""
     keyed = _keyed(docs, id_col, text_col)
-    found = repeated_spans(keyed, length, anchor or max(1, length * ANCHOR // LENGTH))
-    spans = found.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    joined = keyed.select("row", "doc_id", "text").join(spans, "row", "left")
+    joined = keyed.select("row", "doc_id", "text").join(_found(keyed, length, anchor), "row", "left")
     return joined.mapInArrow(_apply, "row long, doc_id long, kept binary, n_bytes long, n_removed long, n_spans long").drop("row")
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input rows with repeated strings taken out of the text; other columns as they came.
+
+    Where a cut parts a character, what is left of the character goes too. A null text stays null.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", BATCH_BYTES):
+            source = batch.column("source")
+            rest = next(_apply([batch.drop_columns(["source"])])).column("kept").to_pylist()
+            texts = pa.array([r.decode("utf-8", "ignore") for r in rest], pa.string())
+            yield pa.RecordBatch.from_arrays([source, texts], ["source", "text"])
+
+    keyed = _keyed(docs, id_col, text_col)
+    joined = keyed.join(_found(keyed, length, None), "row", "left")
+    schema = T.StructType([keyed.schema["source"], T.StructField("text", T.StringType())])
+    changed = joined.select("source", "row", "doc_id", "text", "spans").mapInArrow(cut, schema)
+    columns = []
+    for i, name in enumerate(docs.columns):
+        column = F.col(f"source.c{i}")
+        if name == text_col:
+            column = F.when(column.isNotNull(), F.col("text"))
+        columns.append(column.alias(name))
+    return changed.select(*columns)
