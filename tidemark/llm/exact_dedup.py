@@ -62,7 +62,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
             *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)],
         ).alias("row"),
     )
-    winners = _winners(_digests(packed), salts, F.max, F.lit(1))
+    last = lambda row: F.max_by(row, F.struct(f"{row}.id", f"{row}.was_null"))
+    winners = _winners(_digests(packed), salts, last, F.lit(1))
     back = {id_col: F.col("row.id"), text_col: F.when(~F.col("row.was_null"), F.col("text"))}
     back |= {c: F.col(f"row.c{i}") for i, c in enumerate(others)}
     return winners.select(*[back[c].alias(c) for c in docs.columns])
