@@ -38,8 +38,8 @@ from tidemark.session import settle
 ORDER = 4
 QUANTILE = 0.995
 SURE = 2.0
-BLOCK_BYTES = 24 << 20
-UNIQUE_BYTES = 4 << 20
+BLOCK_BYTES = 12 << 20
+UNIQUE_BYTES = 2 << 20
 _SCORES = "doc_id long, text_hash long, lang string, n_bytes long, loss double, loss_error double"
 
 
