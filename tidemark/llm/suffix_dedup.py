@@ -277,6 +277,7 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     often = settle(often, "hot-anchors")
     n_often = often.limit(BROADCAST_ROWS + 1).count()
     often = F.broadcast(often) if n_often <= BROADCAST_ROWS else often
+    cut = settle(cut, "cut") if n_often else cut
     usual = cut.join(often, "hash", "left_anti") if n_often else cut
     usual = usual.repartition("hash").sortWithinPartitions("hash")
     spans = usual.mapInArrow(lambda rows: _columnwise(rows, length, anchor), "row long, start long, stop long")
