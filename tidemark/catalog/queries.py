@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,7 +120,9 @@ def load_strict(m: Models) -> DataFrame:
     refused = False
     try:
         files.read_ndjson_strict(m.spark, stage).write.parquet(target)
-    except Exception:
+    except PySparkException as problem:
+        if "not JSON in" not in str(problem):
+            raise
         refused = True
     return clean.agg(F.count("*").alias("loaded_rows")).withColumn("defective_refused", F.lit(refused))
 

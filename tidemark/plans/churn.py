@@ -7,12 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranking import auc_exact
 from tidemark.session import shared_root
 from tidemark.sources.files import ntz
 from tidemark.state import ReplacedTable, child_names, read_batches, write_batch
@@ -83,8 +84,9 @@ def evaluate(model: PipelineModel, test: DataFrame) -> tuple[float, float]:
     """Accuracy and area under ROC, both computed by the cluster."""
     scored = model.transform(test)
     accuracy = MulticlassClassificationEvaluator(labelCol="churn_label", metricName="accuracy").evaluate(scored)
-    auc = BinaryClassificationEvaluator(labelCol="churn_label", metricName="areaUnderROC").evaluate(scored)
-    return accuracy, auc
+    ranked = scored.select("churn_label", vector_to_array("probability")[1].alias("p"))
+    auc = auc_exact(ranked, "churn_label", "p").first().auc
+    return accuracy, 0.0 if auc is None else auc
 
 
 class Registry:
@@ -139,11 +141,14 @@ def promotion(version: str, auc: float, default: tuple[str, float] | None) -> tu
 
 
 def churn_train(mart: DataFrame, registry: Registry, run_ts: dt.datetime, rounds: int = ROUNDS) -> Training:
-    """Fit, evaluate on the held-out fifth, save, and promote if better."""
+    """Fit, evaluate on the held-out fifth, save, and promote if better; a finished version is left as it is."""
     spark = registry.spark
     if spark.sparkContext.getCheckpointDir() is None:  # boosting cuts its lineage there
         spark.sparkContext.setCheckpointDir(f"{shared_root(spark)}/checkpoint")
     version = "v_" + run_ts.strftime("%Y%m%d_%H%M%S")
+    done = registry.log().where(F.col("version_name") == version).first()
+    if done is not None:  # a repeated run finds its result
+        return Training(version, done.accuracy, done.auc, done.promoted, done.promotion_note)
     # the features are written once: a hundred rounds must not repeat the joins behind them
     folder = f"{registry.path}/features/{version}"
     _numbers(churn_split(churn_features(mart))).write.mode("overwrite").parquet(folder)

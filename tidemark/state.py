@@ -6,6 +6,7 @@ repeated replaces its own output and nothing else.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,9 +69,10 @@ def committed_batches(spark: SparkSession, path: str) -> list[str]:
 class LatestTable:
     """One row per key, kept as a snapshot plus the batches since.
 
-    An update writes only its own batch. Reading takes the newest row per key over snapshot and later
-    batches; ``compact`` writes that result as the next snapshot. A snapshot counts once its job has
-    committed, so an interrupted run leaves the former state readable.
+    An update writes only its own batch. Reading takes the newest row per key over the snapshot and the
+    batches it does not hold; ``compact`` writes that result as the next snapshot, and beside it the
+    names of the batches in it, so that a batch counts whatever its name. A snapshot counts once its job
+    has committed, so an interrupted run leaves the former state readable.
     """
 
     def __init__(
@@ -87,7 +89,7 @@ class LatestTable:
         self.key, self.newest_by, self.tie_break = key, list(newest_by), list(tie_break)
 
     def _snapshot(self) -> str | None:
-        """Newest committed snapshot; its name ends in the last batch it holds."""
+        """Newest committed snapshot; snapshots are numbered."""
         for name in reversed(child_names(self.spark, f"{self.path}/snapshot")):
             if exists(self.spark, f"{self.path}/snapshot/{name}/_SUCCESS"):
                 return name
@@ -108,10 +110,10 @@ class LatestTable:
         name = self._snapshot()
         if name is None:
             return deltas
-        upto = name.removeprefix("upto_")
+        held = self.spark.read.schema("batch_id string").parquet(f"{self.path}/covered/{name}")
         columns = T.StructType([*self.schema.fields, T.StructField("batch_id", T.StringType())])
         base = self.spark.read.schema(columns).parquet(f"{self.path}/snapshot/{name}")
-        return base.unionByName(deltas.where(F.col("batch_id") > upto))
+        return base.unionByName(deltas.join(held, "batch_id", "left_anti"))
 
     def read(self, with_batch: bool = False) -> DataFrame:
         state = self._latest(self.versions())
@@ -119,13 +121,24 @@ class LatestTable:
 
     def compact(self) -> None:
         batches = committed_batches(self.spark, f"{self.path}/delta")
-        if batches:
-            self.read(with_batch=True).write.mode("overwrite").parquet(f"{self.path}/snapshot/upto_{batches[-1]}")
+        if not batches:
+            return
+        last = self._snapshot()
+        name = f"{int(last) + 1 if last else 1:09d}"
+        held = self.spark.createDataFrame([(b,) for b in batches], "batch_id string")
+        held.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/covered/{name}")
+        known = self.spark.read.schema("batch_id string").parquet(f"{self.path}/covered/{name}")
+        state = self._latest(self.versions().join(known, "batch_id", "left_semi"))
+        state.write.mode("overwrite").parquet(f"{self.path}/snapshot/{name}")
 
     def pending_batches(self) -> int:
         """Batches a reader has to merge with the snapshot."""
-        upto = (self._snapshot() or "upto_").removeprefix("upto_")
-        return sum(1 for n in committed_batches(self.spark, f"{self.path}/delta") if n > upto)
+        name = self._snapshot()
+        held = set()
+        if name is not None:
+            rows = self.spark.read.schema("batch_id string").parquet(f"{self.path}/covered/{name}").collect()
+            held = {r.batch_id for r in rows}
+        return sum(1 for n in committed_batches(self.spark, f"{self.path}/delta") if n not in held)
 
 
 class ReplacedTable:
@@ -136,7 +149,8 @@ class ReplacedTable:
         self.schema = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
 
     def current_version(self) -> str | None:
-        for name in reversed(child_names(self.spark, self.path)):
+        numbers = lambda name: [(0, int(x), "") if x.isdigit() else (1, 0, x) for x in re.split(r"(\d+)", name)]
+        for name in sorted(child_names(self.spark, self.path), key=numbers, reverse=True):
             if exists(self.spark, f"{self.path}/{name}/_SUCCESS"):
                 return name
         return None

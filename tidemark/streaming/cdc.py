@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.payload import Field, extract_fields
 from tidemark.sources.files import ntz
 from tidemark.state import LatestTable
-from tidemark.streaming.ingest import batch_key, run_stream
+from tidemark.streaming.ingest import batch_key, check_ownership, run_stream
 
 ACCOUNT_STATE_SCHEMA = (
     "account_id string, customer_id string, account_status string, current_balance decimal(12,2), "
@@ -56,6 +56,7 @@ def merge_stream(
     every: str | None = None,
 ) -> StreamingQuery:
     """Merge activity rows as they arrive; a micro-batch runs only when there are new rows."""
+    check_ownership(rows.sparkSession, f"{state_path}/delta", checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table = accounts_current(batch.sparkSession, state_path, guard)

@@ -14,7 +14,7 @@ from tidemark.operators.search import bm25_topk, postings
 from tidemark.session import settle
 from tidemark.sources.files import ntz
 from tidemark.state import LatestTable, committed_batches, read_batches, write_batch
-from tidemark.streaming.ingest import batch_key, run_stream
+from tidemark.streaming.ingest import batch_key, check_ownership, run_stream
 
 MANIFEST_SCHEMA = (
     "doc_id bigint, content_hash string, doc_len int, deleted boolean, refresh string, indexed_at timestamp_ntz"
@@ -91,6 +91,7 @@ def index_stream(
     docs: DataFrame, path: str, checkpoint: str, at: dt.datetime, every: str | None = None
 ) -> StreamingQuery:
     """Refresh the index with documents (doc_id, text) as they arrive."""
+    check_ownership(docs.sparkSession, f"{path}/manifest/delta", checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         newest = batch.groupBy("doc_id").agg(F.max("text").alias("text"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,8 @@ def run_stream(writer, every: str | None) -> StreamingQuery:
 
 def check_ownership(spark: SparkSession, out: str, checkpoint: str) -> None:
     """Micro-batches are numbered by the checkpoint, so a new one must not write over another's batches."""
-    if committed_batches(spark, out) and not exists(spark, f"{checkpoint}/metadata"):
+    streamed = any(re.fullmatch(r"m\d{12}", name) for name in committed_batches(spark, out))
+    if streamed and not exists(spark, f"{checkpoint}/metadata"):
         raise ValueError(f"{out} was written under another checkpoint than {checkpoint}")
 
 
