@@ -28,6 +28,13 @@ def test_words_give_the_ids_of_whole_texts():
     assert [np.frombuffer(x, LIBRARY.dtype).tolist() for x in LIBRARY.encode(texts)] == [ids_of(t) for t in texts]
 
 
+def test_cut_places_and_small_gathers(monkeypatch):
+    monkeypatch.setattr(tokens, "GATHER_WORDS", 7)
+    odd = ["", "\n", "\na", "a b\nc d.\nE'll don't.", "x\n", "\x01a \x01b\n\x01", "a\u00a0 \u0301b\x85", "<|endoftext|> a", "漢字…(x)²!"]
+    texts = odd + mixed_texts() + odd
+    assert [np.frombuffer(x, LIBRARY.dtype).tolist() for x in LIBRARY.encode(texts)] == [ids_of(t) for t in texts]
+
+
 def test_matrix_bpe_equals_the_reference_encoder():
     import tiktoken
 

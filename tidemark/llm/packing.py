@@ -24,14 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, texts_of
-from tidemark.llm.tokens import default_tokenizer, tokenizer
+from tidemark.llm.common import texts_of
+from tidemark.llm.tokens import blocks, default_tokenizer, tokenizer
 from tidemark.session import settle
 
 SEQUENCE = 1024
 END_ID = 0
 GROUP_PIECES = 8192
-BATCH_BYTES = 8 << 20
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, number long"
 _PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -56,9 +55,9 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, sequence: int) -> Iter
     part = TaskContext.get().partitionId()
     number = 0
     names = [x.split()[0] for x in _PIECE.split(", ")]
-    for batch in slices(batches, "text", BATCH_BYTES):
+    for batch in blocks(batches):
         out: list[tuple] = []
-        for doc, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("text").to_pylist())):
+        for doc, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("text"))):
             data = np.frombuffer(ids, coder.dtype).astype("<u4").tobytes() + end
             total = len(data) // 4
             places = cuts(total, number, sequence)

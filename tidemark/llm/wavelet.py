@@ -26,15 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, texts_of
-from tidemark.llm.tokens import default_tokenizer, tokenizer
+from tidemark.llm.common import texts_of
+from tidemark.llm.tokens import blocks, default_tokenizer, tokenizer
 from tidemark.session import new_folder
 
 END_ID = 0
 BLOCK = 512
 SHARD_TOKENS = 4 << 20
 TASK_BYTES = 32 << 20
-BATCH_BYTES = 8 << 20
 _SHARD = "part long, seq long, n_tokens long, doc_ids binary, no_id binary, lengths binary, planes binary"
 _READ = "part long, seq long, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
@@ -57,7 +56,7 @@ class WaveletMatrix:
             data = np.packbits(one)
             packed[: len(data)] = data
             planes.append(packed)
-            rest = np.concatenate([rest[~one], rest[one]])
+            rest = np.concatenate([rest.take(np.flatnonzero(~one)), rest.take(np.flatnonzero(one))])
         return cls(len(ids), planes)
 
     def to_bytes(self) -> bytes:
@@ -98,7 +97,8 @@ class WaveletMatrix:
             one = np.unpackbits(self.planes[level], count=self.n).view(bool)
             before = np.empty_like(out)
             zeros = self.zeros[level]
-            before[~one], before[one] = out[:zeros], out[zeros:] | kind(1 << (len(self.planes) - 1 - level))
+            before[np.flatnonzero(~one)] = out[:zeros]
+            before[np.flatnonzero(one)] = out[zeros:] | kind(1 << (len(self.planes) - 1 - level))
             out = before
         return out
 
@@ -166,8 +166,8 @@ def _shards(batches: Iterator[pa.RecordBatch], path: str, shard_tokens: int) ->
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names)
 
     total = 0
-    for batch in slices(batches, "text", BATCH_BYTES):
-        for doc, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("text").to_pylist())):
+    for batch in blocks(batches):
+        for doc, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("text"))):
             n = len(ids) // coder.dtype.itemsize + 1
             if docs and total + n > shard_tokens:
                 yield shard()
