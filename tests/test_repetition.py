@@ -1,11 +1,15 @@
 """State that is written again, late, or under another checkpoint."""
 
+import datetime as dt
+
 import pytest
 from pyspark.errors import PySparkException
 
 from conftest import rows
+from tidemark.operators.drift import header_key_set
 from tidemark.operators.ranking import auc_exact
 from tidemark.state import LatestTable, ReplacedTable
+from tidemark.streaming.index import TextIndex, newest_versions
 from tidemark.streaming.ingest import check_ownership
 
 SCHEMA = "k string, v long"
@@ -46,3 +50,22 @@ def test_scores_without_rank_fail(spark):
         scored = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, bad)], "label int, s double")
         with pytest.raises(PySparkException, match="NULL or NaN"):
             auc_exact(scored, "label", "s").collect()
+
+
+def test_quoted_header_names_keep_their_commas(spark):
+    headers = spark.createDataFrame([('\ufeff"a,b",c, "say ""x""" \r',)], "value string")
+    assert {r.column_key for r in header_key_set(headers).collect()} == {"a,b", "c", 'say "x"'}
+
+
+def test_versions_decide_between_texts_of_a_document(spark):
+    docs = spark.createDataFrame([(1, "zebra old", 1), (1, "alpha new", 2), (2, None, 1)], "doc_id long, text string, v int")
+    assert {tuple(r) for r in newest_versions(docs, "v").collect()} == {(1, "alpha new"), (2, None)}
+    with pytest.raises(PySparkException, match="several texts"):
+        newest_versions(docs, None).collect()
+
+
+def test_null_texts_are_indexed_in_every_refresh(spark, tmp_path):
+    index, at = TextIndex(spark, f"file://{tmp_path}/index"), dt.datetime(2024, 1, 1)
+    index.refresh(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), "r1", at)
+    index.refresh(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string"), "r2", at)
+    assert {r.doc_id for r in index.current().collect()} == {1, 2}

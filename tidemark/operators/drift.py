@@ -16,9 +16,9 @@ def json_key_set(df: DataFrame, payload: str = "raw_payload") -> DataFrame:
 
 
 def header_key_set(headers: DataFrame, line: str = "value") -> DataFrame:
-    """Distinct column names of CSV header lines, case kept."""
-    names = F.split(F.regexp_replace(line, r"^\x{FEFF}", ""), ",")
-    clean = F.transform(names, lambda n: F.regexp_replace(F.trim(n), r'^"|"$|\r$', ""))
+    """Distinct column names of CSV header lines, case kept. A comma within quotes belongs to a name."""
+    names = F.split(F.regexp_replace(line, r"^\x{FEFF}|\r$", ""), r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    clean = F.transform(names, lambda n: F.replace(F.regexp_replace(F.trim(n), r'^"|"$', ""), F.lit('""'), F.lit('"')))
     return headers.select(F.explode(clean).alias("column_key")).distinct()
 
 

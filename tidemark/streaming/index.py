@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.joins import fits_broadcast
+from tidemark.operators.latest import latest_per_key
 from tidemark.operators.quality import freshness
 from tidemark.operators.search import bm25_topk, postings
 from tidemark.session import settle
@@ -38,10 +39,11 @@ class TextIndex:
 
         With ``complete=False`` the documents given are only the changed ones and nothing is dropped.
         Texts are compared by hash; only changed ones are read into words. A refresh that has already
-        finished under this name is left as it is.
+        finished under this name is left as it is. A NULL text is indexed as an empty one.
         """
         if refresh in committed_batches(self.spark, f"{self.path}/manifest/delta"):
             return
+        docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
         changed = self._changed(docs)
         write_batch(postings(changed, "doc_id", "text"), f"{self.path}/postings", refresh)
         # lengths come from the stored postings, which spares reading the texts into words again
@@ -87,14 +89,26 @@ class TextIndex:
         return bm25_topk(self.postings(), self.stats(), queries, k, allowed)
 
 
+def newest_versions(docs: DataFrame, version: str | None) -> DataFrame:
+    """One (doc_id, text) per document: that of the highest version. Without a version column all copies
+    of a document must hold the same text, as nothing says which is newer."""
+    if version is not None:
+        return latest_per_key(docs, "doc_id", [version], ["text"]).select("doc_id", "text")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = texts.groupBy("doc_id").agg(F.max("text").alias("text"), F.min("text").alias("other"))
+    same = F.when(F.col("text") == F.col("other"), F.col("text"))
+    unclear = F.raise_error(F.concat(F.lit("several texts without a version of document "), F.col("doc_id").cast("string")))
+    return found.select("doc_id", F.coalesce(same, unclear.cast("string")).alias("text"))
+
+
 def index_stream(
-    docs: DataFrame, path: str, checkpoint: str, at: dt.datetime, every: str | None = None
+    docs: DataFrame, path: str, checkpoint: str, at: dt.datetime, every: str | None = None, version: str | None = None
 ) -> StreamingQuery:
-    """Refresh the index with documents (doc_id, text) as they arrive."""
+    """Refresh the index with documents (doc_id, text) as they arrive; ``version`` orders texts of one document."""
     check_ownership(docs.sparkSession, f"{path}/manifest/delta", checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.groupBy("doc_id").agg(F.max("text").alias("text"))
+        newest = newest_versions(batch, version)
         TextIndex(batch.sparkSession, path).refresh(newest, batch_key(batch_id), at, complete=False)
 
     writer = docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
