@@ -19,8 +19,9 @@ collection. Texts are therefore first cut into pieces that can be ordered apart:
   of them, whatever the length of the texts. The hash only gathers; bytes decide.
 
 Shuffle files, read sequentially, take the place of the external files; a task holds ``TASK_PIECES``
-pieces or one anchor's. An anchor above ``HOT_PIECES`` pieces is not gathered: its strings are counted by
-128-bit digests, aggregated before the shuffle, and joined back.
+pieces or one anchor's. An anchor above ``HOT_PIECES`` pieces is not gathered: its pieces are reduced to
+different ones, the strings of those are counted by 128-bit digests, weighted by the copies of their piece
+and aggregated before the shuffle, and what is repeated is joined back.
 
 Defined cases: a null or empty text, or one shorter than ``length``, keeps all bytes; overlapping
 occurrences and occurrences in the same text count; a repeated row makes all of its strings repeated; a
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -259,14 +260,11 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
 
     def strings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                digests = [
-                    hashlib.blake2b(row["piece"][i : i + length], digest_size=16).digest() for i in range(row["strings"])
-                ]
-                starts = list(range(row["start"], row["start"] + row["strings"]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(digests, pa.binary()), pa.array([row["row"]] * len(starts)), pa.array(starts)], ["digest", "row", "start"]
-                )
+            for content, piece, n in zip(*(batch.column(c).to_pylist() for c in ("content", "piece", "n"))):
+                starts = range(len(piece) - length + 1)
+                digests = [hashlib.blake2b(piece[i : i + length], digest_size=16).digest() for i in starts]
+                columns = [pa.array(digests, pa.binary()), pa.array([content] * len(starts)), pa.array(starts, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([n] * len(starts), pa.int64())], ["digest", "content", "at", "n"])
 
     found = keyed.select("row", "text").mapInArrow(anchors, _ANCHORS)
     repeated = found.repartition("spread").sortWithinPartitions("spread").mapInArrow(_repeated_only, _PIECES + ", total long")
@@ -283,9 +281,18 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     spans = usual.mapInArrow(lambda rows: _columnwise(rows, length, anchor), "row long, start long, stop long")
     if not n_often:
         return spans
-    strings = cut.join(often, "hash", "left_semi").mapInArrow(strings_of, "digest binary, row long, start long")
-    many = strings.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    return spans.unionByName(strings.join(many, "digest").select("row", "start", (F.col("start") + length).alias("stop")))
+    # pieces with the same bytes are one: all strings of those that occur again are repeated
+    same = cut.join(often, "hash", "left_semi").select("row", "start", "piece", F.md5("piece").alias("content"))
+    contents = same.groupBy("content").agg(F.count(F.lit(1)).alias("n"), F.any_value("piece").alias("piece"))
+    strings = contents.mapInArrow(strings_of, "digest binary, content string, at long, n long")
+    many = strings.groupBy("digest").agg(F.sum("n").alias("total")).where("total > 1").select("digest")
+    # neighbouring places of a piece become one span before its rows are joined
+    run = F.col("at") - F.row_number().over(Window.partitionBy("content").orderBy("at"))
+    runs = strings.join(many, "digest").select("content", "at", run.alias("run")).groupBy("content", "run")
+    runs = runs.agg(F.min("at").alias("first"), (F.max("at") + length).alias("last"))
+    back = same.select("row", "start", "content").join(runs, "content")
+    hot_spans = back.select("row", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("last")).alias("stop"))
+    return spans.unionByName(hot_spans)
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
