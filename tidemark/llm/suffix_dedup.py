@@ -286,10 +286,10 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     contents = same.groupBy("content").agg(F.count(F.lit(1)).alias("n"), F.any_value("piece").alias("piece"))
     strings = contents.mapInArrow(strings_of, "digest binary, content string, at long, n long")
     many = strings.groupBy("digest").agg(F.sum("n").alias("total")).where("total > 1").select("digest")
-    # neighbouring places of a piece become one span before its rows are joined
+    # neighbouring places of a piece become one span; stored, so that the join can split a piece's many rows
     run = F.col("at") - F.row_number().over(Window.partitionBy("content").orderBy("at"))
     runs = strings.join(many, "digest").select("content", "at", run.alias("run")).groupBy("content", "run")
-    runs = runs.agg(F.min("at").alias("first"), (F.max("at") + length).alias("last"))
+    runs = settle(runs.agg(F.min("at").alias("first"), (F.max("at") + length).alias("last")), "hot-runs")
     back = same.select("row", "start", "content").join(runs, "content")
     hot_spans = back.select("row", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("last")).alias("stop"))
     return spans.unionByName(hot_spans)
