@@ -124,3 +124,13 @@ def test_auc_needs_both_classes(spark):
     got = auc_exact(spark.createDataFrame([(0.5, 1)], "s double, y int"), "y", "s").first()
     assert (got.positives, got.negatives, got.auc) == (1, 0, None)
     assert rows(auc_exact(spark.createDataFrame([], "s double, y int"), "y", "s"))[0]["auc"] is None
+
+
+def test_a_row_without_vector_fails(spark):
+    from pyspark.errors import PySparkException
+
+    from tidemark.operators.search import vector_topk
+
+    corpus = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "id long, v array<double>")
+    with pytest.raises(PySparkException, match="no id or no vector"):
+        vector_topk(corpus, [(0, [1.0, 0.0])], 1, "id", "v").collect()

@@ -113,3 +113,10 @@ def test_settlements_keep_every_row(spark):
         "settlement_status string, fee_amount decimal(12,2), _loaded_at timestamp_ntz, _source_file string"
     )
     assert S.stg_settlements(spark.createDataFrame(data, schema)).count() == 2
+
+
+def test_a_payload_that_is_not_json_fails(spark):
+    from py4j.protocol import Py4JJavaError
+
+    with pytest.raises(Py4JJavaError, match="(?i)malformed"):
+        S.stg_support_cases(raw(spark, ["{broken"])).collect()

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 # field name in the JSON, name in the model, type
 Field = tuple[str, str, str]
+STRICT = {"mode": "FAILFAST"}
 
 
 def _object_schema(fields: list[Field]) -> T.StructType:
@@ -37,7 +38,7 @@ def extract_fields(
     """One parse per row; only the listed fields are built, then cast.
 
     Values are read as text first, so a value of the wrong type fails the job
-    instead of turning into NULL. A VARIANT payload is read by path.
+    instead of turning into NULL, and so does a payload that is not JSON. A VARIANT payload is read by path.
     """
     if is_variant(df, payload):
         cols = [
@@ -45,7 +46,7 @@ def extract_fields(
         ]
         return df.select(*cols, *keep)
     # inline() keeps later filters above the parse; pushed below it they would parse every row again
-    parsed = df.select(F.inline(F.array(F.from_json(payload, _object_schema(fields)))), *keep)
+    parsed = df.select(F.inline(F.array(F.from_json(payload, _object_schema(fields), STRICT))), *keep)
     return parsed.selectExpr(*_typed(fields), *keep)
 
 
@@ -55,7 +56,7 @@ def explode_records(
     """One row per element of the payload's array; none for an empty or absent one."""
     text = F.to_json(F.col(payload)) if is_variant(df, payload) else F.col(payload)
     envelope = T.StructType([T.StructField(under, T.ArrayType(_object_schema(fields)))])
-    parsed = df.select(F.explode(F.from_json(text, envelope)[under]).alias("_obj"), *keep)
+    parsed = df.select(F.explode(F.from_json(text, envelope, STRICT)[under]).alias("_obj"), *keep)
     return parsed.selectExpr(*_typed(fields, "_obj."), *keep)
 
 

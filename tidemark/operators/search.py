@@ -123,7 +123,8 @@ def _batch_ranker(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch = batch.dropna()
+            if batch.isna().any(axis=None):
+                raise ValueError("a row has no id or no vector")
             if len(batch):
                 vectors = np.stack(batch["vector"].to_numpy()).astype(np.float64)
                 yield pd.concat(best(batch["doc_id"].to_numpy(), vectors), ignore_index=True)
@@ -138,7 +139,7 @@ def vector_topk(
 
     Tasks multiply their rows with all query vectors and pass on k rows per query and batch. The
     queries of one request travel with the task; long lists are cut into passes, so a task holds no
-    more than a thousand query vectors at a time.
+    more than a thousand query vectors at a time. A row without id or vector fails the job.
     """
     schema = T.StructType(
         [

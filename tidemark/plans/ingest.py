@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
@@ -131,7 +132,14 @@ class Lake:
         return read_batches(self.spark, self.path("ledger", source), LEDGER_SCHEMA)
 
     def audit(self) -> DataFrame:
-        return read_batches(self.spark, self.path("audit"), AUDIT_SCHEMA).drop("batch_id")
+        """Refused batches, and successful ones whose load has finished: those the ledger knows."""
+        rows = read_batches(self.spark, self.path("audit"), AUDIT_SCHEMA)
+        done = reduce(
+            DataFrame.unionByName,
+            [self.ledger(s).select(F.concat("batch_id", F.lit(f"-{s}")).alias("batch_id")) for s in SPECS],
+        ).withColumn("status", F.lit("Success"))
+        failed = rows.where("status <> 'Success'")
+        return failed.unionByName(rows.join(done, ["batch_id", "status"], "left_semi"), allowMissingColumns=True).drop("batch_id")
 
     def raw(self, source: str) -> DataFrame:
         """Rows of the batches whose load has finished: those the ledger knows.
@@ -275,12 +283,12 @@ def validate_and_load(
             lake.append(f"ledger/{spec.name}", fresh, f"{batch_id}-refused")
         refuse(known, row.error_message)
 
-    # 4. promote, remember the keys, and only then name the files as loaded
+    # 4. promote, name the files as loaded, and only then remember the keys; the audit row counts with the ledger
     lake.append("audit", _audit_row(spark, known, spec.name, run_ts), f"{batch_id}-{spec.name}")
     lake.append(f"raw/{spec.name}", landed, batch_id)
-    lake.remember_keys(spec.name, actual, run_ts, batch_id)
     lake.append(f"load_audit/{spec.name}", _load_audit(spec, landed, batch_id, run_ts), batch_id)
     lake.append(f"ledger/{spec.name}", fresh, batch_id)
+    lake.remember_keys(spec.name, actual, run_ts, batch_id)
     return LoadResult(
         f"Success: loaded {row.rows_loaded} new {spec.counted}.", row.rows_loaded, batch_id, fresh
     )

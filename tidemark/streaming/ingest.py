@@ -128,7 +128,8 @@ def dedup_stream(
     """First arrival of each key within the watermark, appended to a parquet table.
 
     Copies are first dropped within the part of the input they were read in, so a key sent very often
-    reaches the second step as a few rows.
+    reaches the second step as a few rows. ``within`` must cover how late events can be: one older than
+    the watermark cannot be told from a copy and does not come through.
     """
     marked = rows.withWatermark(event_time, within).withColumn("_part", F.spark_partition_id())
     first = marked.dropDuplicatesWithinWatermark([key, "_part"]).drop("_part").dropDuplicatesWithinWatermark([key])
