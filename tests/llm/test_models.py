@@ -74,6 +74,35 @@ def test_quality_rejects_noise_and_keeps_the_rest(spark, odd_docs, no_docs):
     assert quality_ngram.judge(no_docs, trusted).count() == 0
 
 
+def test_models_without_a_fold_equal_the_definition(spark):
+    texts = ["the cat sat on the mat", "the dog sat", "a cat and a dog", "éé the", "the cat sat on the mat"]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    folds = {r.doc_id: r.fold for r in df.withColumn("fold", quality_ngram.fold_of(3)).collect()}
+    assert folds[0] == folds[4] and set(folds.values()) <= {1, 2, 3} and len(set(folds.values())) > 1
+    model = quality_ngram.Model(quality_ngram.count_grams(df, 3, 3), 3)
+    got = quality_ngram.score(df.withColumn("fold", quality_ngram.fold_of(3)), model, 30).collect()
+    assert len(got) == 2 * len(texts)
+    for r in got:
+        seen = [t.encode() for i, t in enumerate(texts) if not r.fold or folds[i] != r.fold]
+        assert r.loss == pytest.approx(plain_model(seen, 3)(texts[r.doc_id].encode())), (r.doc_id, r.fold)
+
+
+def test_quality_keeps_clean_rows_it_was_not_trained_on(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for lang, letters, n in (("en", "etaoinshrdlu", 300), ("es", "aeosrnidlctu", 60)):
+        words = ["".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(1500)]
+        rows += [(len(rows) + i, " ".join(rng.choice(words, rng.integers(20, 60))), lang) for i in range(n)]
+    noise = [(1000 + i, "".join(rng.choice(list("#$%&0123456789"), 200)), ("en", "es")[i % 2]) for i in range(6)]
+    docs = spark.createDataFrame([*rows, *noise], "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i, _, _ in rows[::2]], "doc_id long")
+    kept = {r.doc_id: r.keep for r in quality_ngram.judge(docs, trusted).collect()}
+    for lang in ("en", "es"):
+        fresh = [kept[i] for i, _, own in rows[1::2] if own == lang]
+        assert sum(fresh) >= 0.95 * len(fresh), (lang, sum(fresh), len(fresh))
+    assert not any(kept[i] for i, _, _ in noise)
+
+
 def test_languages(spark, odd_docs, no_docs):
     words = {"en": "the and of to with that", "de": "der und das mit nicht ein", "fr": "le et une dans que pour", "xx": "zzq qzz zqz"}
     rows = [(i * 10 + k, " ".join(np.random.default_rng(i * 7 + k).choice(w.split(), 30)), lang) for k, (lang, w) in enumerate(words.items()) for i in range(20)]
