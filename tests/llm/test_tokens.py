@@ -35,6 +35,17 @@ def test_cut_places_and_small_gathers(monkeypatch):
     assert [np.frombuffer(x, LIBRARY.dtype).tolist() for x in LIBRARY.encode(texts)] == [ids_of(t) for t in texts]
 
 
+def test_added_tokens_are_one_id_as_in_a_fresh_library():
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(tokens.default_tokenizer())
+    end = "<|endoftext|>"
+    texts = [f"one{end} start", end, end * 3, f"a  {end}\n\n b", "plain text", f"<|endoftext{end}|>", "<|endoftext |>", f"x.{end}\x01y", ""]
+    got = [np.frombuffer(x, LIBRARY.dtype).tolist() for x in LIBRARY.encode(texts + mixed_texts())]
+    assert got == [fresh.encode(t, add_special_tokens=False).ids for t in texts + mixed_texts()]
+    assert got[1] == [50256]
+
+
 def test_matrix_bpe_equals_the_reference_encoder():
     import tiktoken
 

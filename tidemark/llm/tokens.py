@@ -11,6 +11,9 @@ cuts the texts of a block and numbers their distinct parts, which are a small sh
 those numbers. Parts that begin with a blank or line end are joined again and encoded in a few calls; the
 byte lengths of the tokens say where each ends, and a part whose end is not the end of a token stops the
 job. Nothing is kept between blocks.
+
+As by the library's own rule, an added token that stands in a text (such as ``<|endoftext|>``) is its single
+id. Texts are parted there first; what lies between is cut and encoded as ordinary text.
 """
 
 from __future__ import annotations
@@ -52,7 +55,15 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        found = self.library.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized and self.library.normalizer for t in found.values()):
+            raise ValueError("added tokens that take in what is beside them, or normalized text, are not served")
+        self.added = {token.content: number for number, token in found.items()}
+        # Of those that begin at a place the longest counts, as in the library.
+        self.marks = "|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True))
+        # Parts have no added token; joined for a call they must not make one either.
+        self.ordinary = Tokenizer.from_file(path)
+        self.ordinary.encode_special_tokens = True
         vocabulary = self.library.get_vocab()
         self.size = max(vocabulary.values()) + 1
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
@@ -61,7 +72,7 @@ class WordTokenizer:
             self.byte_lengths[number] = len(token)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        found = self.ordinary.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype) for x in found]
 
     def _joined_ids(self, words: list[str]) -> list[bytes]:
@@ -124,6 +135,28 @@ class WordTokenizer:
         texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         if not len(texts):
             return []
+        if self.marks:
+            marked = np.zeros(len(texts), bool)
+            for content in self.added:
+                marked |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+            if marked.any():
+                return self._encode_marked(texts, marked)
+        return self._encode_ordinary(texts)
+
+    def _encode_marked(self, texts: pa.Array, marked: np.ndarray) -> list[bytes]:
+        """Ids of texts some of which have added tokens: every second part of those is one."""
+        parts = [re.split(f"({self.marks})", t) for t in texts.filter(pa.array(marked)).to_pylist()]
+        between = pa.array([p for part in parts for p in part[::2]], pa.large_string())
+        found = iter(self._encode_ordinary(pa.concat_arrays([between, texts.filter(pa.array(~marked))])))
+        single = {c: np.array([number], self.dtype).tobytes() for c, number in self.added.items()}
+        out = [b""] * len(texts)
+        for at, part in zip(np.flatnonzero(marked).tolist(), parts):
+            out[at] = b"".join(single[p] if i % 2 else next(found) for i, p in enumerate(part))
+        for at in np.flatnonzero(~marked).tolist():
+            out[at] = next(found)
+        return out
+
+    def _encode_ordinary(self, texts: pa.Array) -> list[bytes]:
         order, words, counts = self._cut(texts)
         ends = np.cumsum(counts)
         after = np.ones(len(words), bool)
