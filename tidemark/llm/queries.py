@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_matrix, exact_dedup, language, packing, quality_ngram, simhash_bytes, suffix_dedup, topk_lists, warc, wavelet
+from tidemark.llm import (
+    bpe_matrix,
+    exact_dedup,
+    language,
+    packing,
+    quality_ngram,
+    sharded_lloyd,
+    simhash_bytes,
+    suffix_dedup,
+    sum_squares,
+    topk_lists,
+    warc,
+    wavelet,
+)
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,7 +91,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.store_tokens(table(spark, sf_dir, "documents"))
 
 
+@query("op12_sharded_lloyd")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centers = sharded_lloyd.cluster(table(spark, sf_dir, "embeddings"))
+    return sharded_lloyd.with_inertia(assigned, centers)
+
+
+@query("op13_sum_of_squares")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sum_squares.pack(table(spark, sf_dir, "documents"))
+
+
 ORACLE = {
+    "op12_sharded_lloyd": sharded_lloyd.oracle_sql(),
     "op3_topk_sorted_lists": """
         WITH v AS (
             SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
