@@ -18,6 +18,7 @@ from tidemark.llm import (
     suffix_dedup,
     sum_squares,
     topk_lists,
+    turn_repair,
     warc,
     wavelet,
 )
@@ -91,6 +92,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.store_tokens(table(spark, sf_dir, "documents"))
 
 
+@query("op11_audit_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 @query("op12_sharded_lloyd")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned, centers = sharded_lloyd.cluster(table(spark, sf_dir, "embeddings"))
@@ -103,6 +109,7 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE = {
+    "op11_audit_repair": turn_repair.oracle_sql(),
     "op12_sharded_lloyd": sharded_lloyd.oracle_sql(),
     "op3_topk_sorted_lists": """
         WITH v AS (
