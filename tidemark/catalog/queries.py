@@ -747,17 +747,21 @@ def _questions(m: Models) -> DataFrame:
 
 @query
 def search_support_cases(m: Models) -> DataFrame:
+    """Open cases from an index of all cases; the filter is a bitmap of the index."""
     shown = ["customer_id", "category", "priority", "status"]
-    cases = settle(m.stg_support_cases.withColumn("case_no", F.col("case_id").cast("bigint")), "cases")
-    hits = search.search(cases, _questions(m), 5, "case_no", "narrative", shown, F.col("status") == "OPEN")
-    return hits.withColumnRenamed("doc_id", "case_no")
+    cases = m.stg_support_cases.select(F.col("case_id").cast("bigint").alias("doc_id"), F.col("narrative").alias("text"), *shown)
+    idx = index.TextIndex(m.spark, new_folder(m.spark, "case-index"))
+    idx.refresh(cases, "r1", RUN_TS)
+    return idx.search(_questions(m), 5, {"status": ["OPEN"]}, shown).withColumnRenamed("doc_id", "case_no")
 
 
 @query
 def search_policy_docs(m: Models) -> DataFrame:
-    docs = settle(m.raw("policy_documents"), "documents")
-    hits = search.search(docs, _questions(m), 5, "file_name", "extracted_text", ["page_count"])
-    return hits.withColumnRenamed("doc_id", "file_name")
+    docs = m.raw("policy_documents").select(F.col("file_name").alias("doc_id"), F.col("extracted_text").alias("text"), "page_count")
+    idx = index.TextIndex(m.spark, new_folder(m.spark, "policy-index"), "string")
+    idx.refresh(docs, "r1", RUN_TS)
+    hits = idx.search(_questions(m), 5, shown=["page_count"]).withColumnRenamed("doc_id", "file_name")
+    return hits.withColumn("page_count", F.col("page_count").cast("int"))
 
 
 @query
@@ -776,7 +780,7 @@ def vector_topk(m: Models) -> DataFrame:
 
 
 def _documents(m: Models) -> DataFrame:
-    return table(m.spark, m.sf_dir, "documents").select("doc_id", "text")
+    return table(m.spark, m.sf_dir, "documents", spread=True).select("doc_id", "text")
 
 
 @query

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +33,10 @@ def run_stream(writer, every: str | None) -> StreamingQuery:
     return query
 
 
-def check_ownership(spark: SparkSession, out: str, checkpoint: str) -> None:
+def check_ownership(spark: SparkSession, out: str, checkpoint: str, batches: Sequence[str] | None = None) -> None:
     """Micro-batches are numbered by the checkpoint, so a new one must not write over another's batches."""
-    streamed = any(re.fullmatch(r"m\d{12}", name) for name in committed_batches(spark, out))
+    names = committed_batches(spark, out) if batches is None else batches
+    streamed = any(re.fullmatch(r"m\d{12}", name) for name in names)
     if streamed and not exists(spark, f"{checkpoint}/metadata"):
         raise ValueError(f"{out} was written under another checkpoint than {checkpoint}")
 
