@@ -113,6 +113,9 @@ def test_languages(spark, odd_docs, no_docs):
     assert all(r.lang_pred == want[r.doc_id] and 0 <= r.score <= 1 for r in found)
     odd = {r.doc_id: r for r in language.identify(odd_docs, model).collect()}
     assert odd[0].lang_pred == odd[1].lang_pred == odd[2].lang_pred == "und" and odd[0].score == 0
+    numerals = ["½ ² ①", "Ⅷ", "12 – 3", "_", "٣"]
+    assert model.predict(numerals) == (["und"] * 5, [0.0] * 5)
+    assert model.predict(["ª", "Ⅷ a", "漢"])[0].count("und") == 0
     assert language.identify(no_docs, model).count() == 0
     empty = language.train(no_docs.select("doc_id", "text", "lang"))
     assert {r.lang_pred for r in language.identify(docs, empty).collect()} == {"und"}

@@ -19,12 +19,12 @@ repeated rows get equal predictions; extra columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,7 +45,7 @@ FAMILIES = {
     "slavic": ["bg", "cs", "hr", "pl", "ru", "sk", "sl", "sr", "uk"],
 }
 _FAMILY_OF = {language: family for family, members in FAMILIES.items() for language in members}
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # numerals such as Roman ones or fractions are not letters
 _FOLD = np.full(256, 32, np.uint32)
 _FOLD[128:] = np.arange(128, 256)
 for _b in range(26):
