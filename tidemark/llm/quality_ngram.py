@@ -238,13 +238,13 @@ def score(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> Data
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema) as writer:
                 writer.write_table(table)
-            packed = zstandard.ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes())
+            packed = zstandard.ZstdCompressor(level=9).compress(sink.getvalue().to_pybytes())
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([packed], pa.binary())], ["block", "texts"])
 
     def answer(texts: pa.Table, answers: pa.Table) -> pa.Table:
         keys = answers.column("gram").to_numpy()
         order_of = np.argsort(keys)
-        keys, logs = keys[order_of], -np.log2(answers.column("p").to_numpy()[order_of])
+        keys, logs = keys[order_of], answers.column("bits").to_numpy()[order_of].astype(np.float64)
         out: list[pd.DataFrame] = []
         for packed in texts.column("texts").to_pylist():
             whole = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(packed)).read_all()
@@ -290,7 +290,7 @@ def score(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> Data
 
     asked = settle(texts.select("text", "fold").mapInArrow(ask, "block long, gram long"), "asked")
     known = model.probability(asked.select("gram").distinct())
-    answers = asked.join(known, "gram").select("block", "gram", F.col("p"))
+    answers = asked.join(known, "gram").select("block", "gram", (-F.log2("p")).cast("float").alias("bits"))
     packed = texts.mapInArrow(gather, "block long, texts binary")
     return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(answer, _SCORES)
 
