@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import BROADCAST_ROWS, slices
 from tidemark.session import settle
 
 WIDTH = 1 << 13
@@ -142,8 +142,9 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     known = docs.where("lang is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = known.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
-    chosen = chosen.select("doc_id", "lang").distinct()
-    sample = known.join(chosen, ["doc_id", "lang"], "left_semi")
+    chosen = settle(chosen.select("doc_id", "lang").distinct(), "language-sample")
+    few = chosen.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # per_language rows for each language
+    sample = known.join(F.broadcast(chosen) if few else chosen, ["doc_id", "lang"], "left_semi")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
