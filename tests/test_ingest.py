@@ -123,6 +123,28 @@ def test_new_key_joins_the_baseline(spark, stage, lake, run_ts):
     assert (known["CASE_ID"]["first_seen_at"], known["CASE_ID"]["last_seen_at"]) == (run_ts, run_ts + DAY)
 
 
+def test_keys_survive_a_run_that_breaks_off(spark, stage, lake, run_ts, monkeypatch):
+    put_json(stage, "a.json", [case(1)])
+    for step in ("remember_keys", "append"):
+        with monkeypatch.context() as patch:
+            real = getattr(Lake, step)
+
+            def broken(self, *args, step=step, real=real):
+                if step == "remember_keys" or args[0].startswith("ledger/"):
+                    raise RuntimeError("lost")
+                return real(self, *args)
+
+            patch.setattr(Lake, step, broken)
+            with pytest.raises(RuntimeError, match="lost"):
+                load(spark, ingest.SUPPORT_CASES, stage, lake, run_ts)
+        assert lake.baseline("support_cases").isEmpty() and lake.raw("support_cases").isEmpty()
+    load(spark, ingest.SUPPORT_CASES, stage, lake, run_ts + DAY)
+    assert lake.baseline("support_cases").count() == 3
+    put_json(stage, "b.json", [case(2, priority="absent")])
+    with pytest.raises(ValidationFailed, match="missing fields PRIORITY"):
+        load(spark, ingest.SUPPORT_CASES, stage, lake, run_ts + 2 * DAY)
+
+
 def test_missing_key_refuses_and_a_replaced_file_loads(spark, stage, lake, run_ts):
     put_json(stage, "a.json", [case(1)])
     load(spark, ingest.SUPPORT_CASES, stage, lake, run_ts)

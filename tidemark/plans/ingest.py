@@ -155,7 +155,17 @@ class Lake:
         )
 
     def baseline(self, source: str) -> DataFrame:
-        return self.baseline_table().read().where((F.col("source_name") == source) & ~F.col("retired"))
+        """Keys seen in batches whose load has finished, and not retired since.
+
+        Keys are written before the ledger and count with it, so a run that breaks off in between leaves neither.
+        """
+        table = self.baseline_table()
+        rows = table.versions().where(F.col("source_name") == source)
+        if source in SPECS:
+            done = self.ledger(source).select(F.concat("batch_id", F.lit(f"-{source}")).alias("batch_id")).distinct()
+            retired = rows.where(F.col("batch_id").endswith("-retire"))
+            rows = rows.join(done, "batch_id", "left_semi").unionByName(retired)
+        return table.newest(rows).where(~F.col("retired")).drop("batch_id")
 
     def remember_keys(self, source: str, actual: DataFrame, seen_at: dt.datetime, batch_id: str) -> None:
         known = self.baseline(source).drop("retired")
@@ -283,12 +293,12 @@ def validate_and_load(
             lake.append(f"ledger/{spec.name}", fresh, f"{batch_id}-refused")
         refuse(known, row.error_message)
 
-    # 4. promote, name the files as loaded, and only then remember the keys; the audit row counts with the ledger
+    # 4. promote, and name the files as loaded at last; audit row, raw rows and keys count with the ledger
     lake.append("audit", _audit_row(spark, known, spec.name, run_ts), f"{batch_id}-{spec.name}")
     lake.append(f"raw/{spec.name}", landed, batch_id)
     lake.append(f"load_audit/{spec.name}", _load_audit(spec, landed, batch_id, run_ts), batch_id)
-    lake.append(f"ledger/{spec.name}", fresh, batch_id)
     lake.remember_keys(spec.name, actual, run_ts, batch_id)
+    lake.append(f"ledger/{spec.name}", fresh, batch_id)
     return LoadResult(
         f"Success: loaded {row.rows_loaded} new {spec.counted}.", row.rows_loaded, batch_id, fresh
     )

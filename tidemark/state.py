@@ -31,6 +31,24 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def read_small(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    fs, jpath = _fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, written at once if it is not there."""
+    fs, jpath = _fs(spark, path)
+    out = fs.create(jpath, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names below a folder that holds one entry per batch."""
     fs, jpath = _fs(spark, path)
@@ -95,7 +113,7 @@ class LatestTable:
                 return name
         return None
 
-    def _latest(self, df: DataFrame) -> DataFrame:
+    def newest(self, df: DataFrame) -> DataFrame:
         """Newest by the table's own order; the later batch wins what is left undecided."""
         return latest_per_key(df, self.key, [*self.newest_by, "batch_id"], self.tie_break)
 
@@ -116,7 +134,7 @@ class LatestTable:
         return base.unionByName(deltas.join(held, "batch_id", "left_anti"))
 
     def read(self, with_batch: bool = False) -> DataFrame:
-        state = self._latest(self.versions())
+        state = self.newest(self.versions())
         return state if with_batch else state.drop("batch_id")
 
     def compact(self) -> None:
@@ -128,7 +146,7 @@ class LatestTable:
         held = self.spark.createDataFrame([(b,) for b in batches], "batch_id string")
         held.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/covered/{name}")
         known = self.spark.read.schema("batch_id string").parquet(f"{self.path}/covered/{name}")
-        state = self._latest(self.versions().join(known, "batch_id", "left_semi"))
+        state = self.newest(self.versions().join(known, "batch_id", "left_semi"))
         state.write.mode("overwrite").parquet(f"{self.path}/snapshot/{name}")
 
     def pending_batches(self) -> int:
