@@ -116,7 +116,7 @@ def test_result_does_not_depend_on_how_batches_are_cut(spark, tmp_path, run_ts):
     for n, lo in enumerate(range(0, 60, 20)):
         cdc.merge_batch(parts, activity(spark, events[lo : lo + 20]), f"m{n}", run_ts)
         if n == 1:
-            parts.compact()
+            parts.vacuum()
     assert state(whole) == state(parts)
 
 
@@ -127,12 +127,12 @@ def test_replayed_batch_changes_nothing(spark, tmp_path, run_ts):
     assert table.versions().count() == 1
 
 
-def test_compaction_keeps_the_state(spark, tmp_path, run_ts, monkeypatch):
-    monkeypatch.setattr(cdc, "COMPACT_AFTER", 2)
+def test_removing_old_files_keeps_the_state(spark, tmp_path, run_ts, monkeypatch):
+    monkeypatch.setattr(cdc, "VACUUM_AFTER", 2)
     table = cdc.accounts_current(spark, f"file://{tmp_path}/s")
     for i in range(5):
         cdc.merge_batch(table, activity(spark, [("a", "OPEN", i), (f"b{i}", "FROZEN", 1)]), f"m{i}", run_ts)
-    assert len(state(table)) == 6 and table.pending_batches() < 2
+    assert len(state(table)) == 6 and len(table.stale()) < 2
 
 
 def test_unfinished_snapshot_is_not_read(spark, tmp_path):
@@ -164,9 +164,9 @@ def test_cdc_stream_takes_only_what_is_new(spark, tmp_path, run_ts):
     run("b.json", [("a", "CLOSED", 1), ("b", "OPEN", 1)])
     table = cdc.accounts_current(spark, kept)
     assert state(table) == {"a": "FROZEN", "b": "OPEN"}
-    before = table.pending_batches()
+    before = table.log.newest()
     cdc.merge_stream(S.raw_stream(spark, out), kept, f"{kept}/checkpoint", merged_at=run_ts)
-    assert table.pending_batches() == before
+    assert table.log.newest() == before
 
 
 def test_dedup(spark, tmp_path):

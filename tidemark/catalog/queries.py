@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.buckets import BucketTable
 from tidemark.catalog.models import Models
 from tidemark.functions import columns as C
 from tidemark.operators import drift, log_triage, quality, routing, search
@@ -23,7 +24,7 @@ from tidemark.session import new_folder, settle, shared_root
 from tidemark.sources import files
 from tidemark.sources import tables as R
 from tidemark.sources.tables import AS_OF, RUN_TS, table
-from tidemark.state import LatestTable, ReplacedTable, read_batches, write_batch
+from tidemark.state import ReplacedTable, read_batches, write_batch
 from tidemark.streaming import cdc, index
 from tidemark.streaming import ingest as streams
 
@@ -211,11 +212,10 @@ def sink_overwrite(m: Models) -> DataFrame:
 @query
 def sink_upsert(m: Models) -> DataFrame:
     """State after merging the activity log in two batches, the later half first."""
-    state = LatestTable(m.spark, new_folder(m.spark, "upsert"), DAILY_SCHEMA, "account_id", ["updated_at"], ["balance"])
+    state = BucketTable(m.spark, new_folder(m.spark, "upsert"), DAILY_SCHEMA, "account_id", ["updated_at"], ["balance"], buckets=8)
     half = F.col("updated_at") >= F.lit("2024-01-16").cast("timestamp_ntz")
     rows = _activity_states(m)
     state.update(rows.where(half), "b1")
-    state.compact()
     state.update(rows.where(~half), "b2")
     return state.read()
 

@@ -22,7 +22,7 @@ from tidemark.operators.search import query_terms, rank_top
 from tidemark.session import settle
 from tidemark.sources.files import ntz
 from tidemark.state import child_names, exists, remove
-from tidemark.streaming.ingest import batch_key, check_ownership, run_stream
+from tidemark.streaming.ingest import batch_key, check_ownership, claim, run_stream
 
 FAN = 4  # segments of one size that are merged into one
 TIER_BASE = 1000
@@ -403,6 +403,7 @@ def index_stream(
     check_ownership(docs.sparkSession, f"{path}/done", checkpoint, child_names(docs.sparkSession, f"{path}/done"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        claim(batch.sparkSession, f"{path}/done", checkpoint)
         newest = newest_versions(batch, version)
         TextIndex(batch.sparkSession, path).refresh(newest, batch_key(batch_id), at, complete=False)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import re
 from collections.abc import Sequence
 
@@ -13,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.routing import KEY_FIELDS, classify, readable_json
 from tidemark.plans.health import load_history
 from tidemark.sources.files import ntz
-from tidemark.state import committed_batches, exists, read_batches, write_batch_once
+from tidemark.state import committed_batches, exists, read_batches, read_small, write_batch_once, write_small
 
 RAW_SCHEMA = "raw_payload string, _source_file string, _loaded_at timestamp_ntz"
 HISTORY_SCHEMA = "_source_file string, row_count bigint, error_count bigint, last_load_time timestamp_ntz"
@@ -33,14 +34,33 @@ def run_stream(writer, every: str | None) -> StreamingQuery:
     return query
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id Spark has given the stream of this checkpoint."""
+    path = f"{checkpoint}/metadata"
+    return json.loads(read_small(spark, path))["id"] if exists(spark, path) else None
+
+
 def check_ownership(spark: SparkSession, out: str, checkpoint: str, batches: Sequence[str] | None = None) -> None:
-    """Micro-batches are numbered by the checkpoint, so a new one must not write over another's batches."""
-    names = committed_batches(spark, out) if batches is None else batches
-    streamed = any(re.fullmatch(r"m\d{12}", name) for name in names)
-    if streamed and not exists(spark, f"{checkpoint}/metadata"):
+    """Micro-batches are numbered by the checkpoint, so a new one must not write over another's batches.
+
+    The output names the stream that writes it; without that, a checkpoint must be there if batches are.
+    """
+    own, owner = _stream_id(spark, checkpoint), f"{out}/_owner"
+    if exists(spark, owner):
+        taken = read_small(spark, owner) != own
+    else:
+        names = committed_batches(spark, out) if batches is None else batches
+        taken = own is None and any(re.fullmatch(r"m\d{12}", name) for name in names)
+    if taken:
         raise ValueError(f"{out} was written under another checkpoint than {checkpoint}")
 
 
+def claim(spark: SparkSession, out: str, checkpoint: str) -> None:
+    """Name the running stream as the owner of an output that has none yet."""
+    if not exists(spark, f"{out}/_owner"):
+        write_small(spark, f"{out}/_owner", _stream_id(spark, checkpoint) or "")
+
+
 def read_line_stream(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     return (
         spark.readStream.format("text")
@@ -67,6 +87,7 @@ def land_stream(
     check_ownership(lines.sparkSession, f"{out}/raw", checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        claim(batch.sparkSession, f"{out}/raw", checkpoint)
         stamp = ntz(run_ts) if run_ts is not None else F.current_timestamp().cast("timestamp_ntz")
         if "_loaded_at" not in batch.columns:
             batch = batch.withColumn("_loaded_at", stamp)
@@ -113,6 +134,7 @@ def route_stream(
     check_ownership(rows.sparkSession, f"{out}/clean", checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        claim(batch.sparkSession, f"{out}/clean", checkpoint)
         tagged = classify(batch, KEY_FIELDS, literal=literal).persist()
         try:
             write_batch_once(tagged.where("_is_clean").drop("_is_clean"), f"{out}/clean", batch_key(batch_id))
