@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from tidemark.buckets import BucketTable
 from tidemark.catalog.models import Models
 from tidemark.functions import columns as C
-from tidemark.operators import drift, log_triage, quality, routing, search
+from tidemark.operators import drift, log_triage, quality, routing
 from tidemark.operators.ranking import auc_exact
+from tidemark.operators.vector_index import VectorIndex
 from tidemark.plans import churn, extras, health, ingest, inventory, semantic
 from tidemark.plans import intermediate as I
 from tidemark.plans.graph import build_models
@@ -766,17 +767,18 @@ def search_policy_docs(m: Models) -> DataFrame:
 
 @query
 def vector_topk(m: Models) -> DataFrame:
-    """The nearest vectors to the centre of each class."""
+    """The nearest vectors to the centre of each class, from cells around pivots."""
     vectors = table(m.spark, m.sf_dir, "embeddings")
     parts = vectors.select("label", F.posexplode("embedding").alias("i", "x"))
     centres = (
         parts.groupBy("label", "i")
         .agg(F.avg(F.col("x").cast("double")).alias("x"))
-        .groupBy("label")
-        .agg(F.sort_array(F.collect_list(F.struct("i", "x")))["x"].alias("centre"))
+        .groupBy(F.col("label").alias("query_id"))
+        .agg(F.sort_array(F.collect_list(F.struct("i", "x")))["x"].alias("vector"))
     )
-    asked = [(r.label, r.centre) for r in centres.orderBy("label").toLocalIterator()]
-    return search.vector_topk(vectors, asked, 10, "vec_id", "embedding")
+    cells = VectorIndex(m.spark, new_folder(m.spark, "vectors"))
+    cells.build(vectors, "vec_id", "embedding")
+    return cells.search(centres, 10)
 
 
 def _documents(m: Models) -> DataFrame:
