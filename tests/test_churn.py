@@ -88,3 +88,12 @@ def test_tracking_outcomes(spark):
     assert churn.churned_count(tracking).first().churned_customers == 4
     assert [r.customer_id for r in churn.churn_risk_list(tracking).collect()] == ["c"]
     assert [r.customer_id for r in churn.churn_top(scores, 2).collect()] == ["c", "g"]
+
+
+def test_an_undefined_auc_is_said_and_beaten():
+    from tidemark.plans.churn import promotion
+
+    assert promotion("v1", None, None)[0]
+    kept, note = promotion("v2", None, ("v1", 0.7))
+    assert not kept and "new AUC undefined did not beat" in note
+    assert promotion("v3", 0.4, ("v1", None)) == (True, "PROMOTED: new AUC 0.4000 beat current default's AUC undefined.")

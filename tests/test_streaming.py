@@ -174,8 +174,29 @@ def test_dedup(spark, tmp_path):
     data = [("a", T0), ("a", T0 + dt.timedelta(minutes=5)), ("b", T0)]
     df = spark.createDataFrame(data * 50, "event_id string, t timestamp")
     df.repartition(5).write.parquet(src)
-    S.dedup_stream(spark.readStream.schema(df.schema).parquet(src), "event_id", "t", out, f"{tmp_path}/cp")
-    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["a", "b"]
+    S.dedup_stream(spark.readStream.schema(df.schema).parquet(src), "event_id", "t", out, f"file://{tmp_path}/cp")
+    assert sorted(r.event_id for r in S.deduplicated(spark, out, "event_id string").collect()) == ["a", "b"]
+    assert {tuple(r)[:2] for r in spark.read.parquet(f"{out}/copies").collect()} == {("a", 99), ("b", 49)}
+
+
+def test_late_events_arrive_and_copies_are_counted(spark, tmp_path):
+    src, out = f"file://{tmp_path}/src", f"file://{tmp_path}/out"
+    day = dt.timedelta(days=1)
+    batches = [
+        [("new", T0 + 40 * day), ("new", T0 + 40 * day), (None, T0)],
+        [("late", T0), ("new", T0 + 39 * day), ("untimed", None)],
+        [("late", T0), ("later", T0 - 400 * day), ("untimed", None), (None, T0)],
+    ]
+    for batch in batches:
+        df = spark.createDataFrame(batch, "event_id string, t timestamp")
+        df.write.mode("append").parquet(src)
+        S.dedup_stream(spark.readStream.schema(df.schema).parquet(src), "event_id", "t", out, f"file://{tmp_path}/cp")
+    kept = [(r.event_id, r.t) for r in S.deduplicated(spark, out, "event_id string, t timestamp").collect()]
+    assert len(kept) == 5 and set(kept) == {("new", T0 + 40 * day), (None, T0), ("late", T0), ("untimed", None), ("later", T0 - 400 * day)}
+    counted = {}
+    for r in spark.read.parquet(f"{out}/copies").collect():
+        counted[r.event_id] = counted.get(r.event_id, 0) + r.copies
+    assert counted == {"new": 2, "late": 1, "untimed": 1, None: 1}
 
 
 def docs(spark, texts):

@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 
 from tidemark.plans.suite import PARITY, SUITE
+from tidemark.sources.tables import TABLES
 
 AS_OF = "DATE '2024-01-31'"
 RUN = "TIMESTAMP '2024-01-31 08:00:00'"
@@ -331,6 +332,9 @@ def oracle_sql() -> dict[str, str]:
         SELECT source_file AS _source_file, count(*) AS row_count, count(*) FILTER (WHERE is_bad) AS error_count,
                CAST(max(loaded_at) AS VARCHAR) AS last_load_time FROM dirty GROUP BY source_file
         HAVING max(loaded_at) >= {RUN} - INTERVAL 1 DAY AND count(*) FILTER (WHERE is_bad) > 0""")
+    o["directory_listing"] = " UNION ALL ".join(
+        f"SELECT '{n}.parquet' AS listed_as, TRUE AS all_have_size, count(*) AS n_rows FROM {n}" for n in TABLES
+    )
     o["document_load"] = build("SELECT file_name, page_count, left(extracted_text, 200) AS preview FROM pol")
     o["document_text"] = build("SELECT file_name, extracted_text, page_count FROM pol")
     o["parse_json_insert"] = build("""
@@ -675,7 +679,8 @@ def oracle_sql() -> dict[str, str]:
     o["stream_clean_quarantine"] = build("""
         SELECT CASE WHEN seen_account IS NULL OR seen_merchant IS NULL THEN 'quarantine' ELSE 'clean' END AS side,
                source_file AS _source_file, count(*) AS n_rows FROM dirty WHERE NOT is_bad GROUP BY ALL""")
-    o["stream_event_dedup"] = build("SELECT event_id, cents / 100.0 AS amount FROM partner")
+    o["stream_event_dedup"] = build("""
+        SELECT event_id, cents / 100.0 AS amount, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN 3 ELSE 1 END AS copies FROM partner""")
     # -------------------------------------------------------------- extras
     o["fx_to_usd"] = build(
         """

@@ -153,13 +153,24 @@ def load_history_errors(m: Models) -> DataFrame:
 
 @query
 def directory_listing(m: Models) -> DataFrame:
-    return files.list_files(m.spark, m.sf_dir, "*.parquet").select("relative_path", "size", "last_modified")
+    """The files of every test table next to the rows that are read from them."""
+    listed = files.list_files(m.spark, m.sf_dir, "*.parquet")
+    owner = F.regexp_extract("relative_path", "^([^/]+)", 1)
+    sizes = listed.groupBy(owner.alias("listed_as")).agg(F.bool_and(F.col("size") > 0).alias("all_have_size"))
+    counts = [table(m.spark, m.sf_dir, n).agg(F.count("*").alias("n_rows")).withColumn("name", F.lit(f"{n}.parquet")) for n in R.TABLES]
+    found = reduce(DataFrame.unionByName, counts)
+    return sizes.join(found, F.col("listed_as") == F.col("name")).select("listed_as", "all_have_size", "n_rows")
 
 
 @query
 def document_load(m: Models) -> DataFrame:
-    docs = m.raw("policy_documents")
-    return files.preview(docs)
+    """Every page as a file of its own: listed, extracted, appended, and previewed from what was stored."""
+    folder, loaded = new_folder(m.spark, "documents"), new_folder(m.spark, "loaded-documents")
+    pages = table(m.spark, m.sf_dir, "pages").select(F.col("url").alias("name"), F.coalesce("html", F.lit("")).alias("html"))
+    pages.write.partitionBy("name").text(folder)
+    documents = files.load_documents(m.spark, folder, "*.txt", files.html_document, RUN_TS, named_by="name")
+    write_batch(documents, loaded, "b1")
+    return files.preview(read_batches(m.spark, loaded, f"{files.DOCUMENT_SCHEMA}, _loaded_at timestamp_ntz"))
 
 
 @query
@@ -991,13 +1002,18 @@ def stream_index_refresh(m: Models) -> DataFrame:
 
 @query
 def stream_event_dedup(m: Models) -> DataFrame:
-    """Every event sent twice; each id is kept once."""
+    """Every event sent twice, the newer half first, and those once more with the late older half; each id is kept once."""
     folder, out = new_folder(m.spark, "events"), new_folder(m.spark, "dedup")
-    once = m.stg_partner_transactions.select("event_id", F.col("event_timestamp").cast("timestamp").alias("event_time"), "amount")
-    once.unionByName(once).write.parquet(folder)
-    rows = m.spark.readStream.schema(once.schema).parquet(folder)
-    streams.dedup_stream(rows, "event_id", "event_time", out, f"{out}-checkpoint", within="60 days")
-    return m.spark.read.schema(once.schema).parquet(out).select("event_id", "amount")
+    columns = [F.col("event_id"), F.col("event_timestamp").cast("timestamp").alias("event_time"), F.col("amount")]
+    once = settle(m.stg_partner_transactions.select(*columns), "events")
+    newer = once.where(F.col("event_time") >= F.lit("2024-01-16").cast("timestamp"))
+    schema = "event_id string, event_time timestamp, amount decimal(12,2)"
+    for part in (newer.unionByName(newer), once.unionByName(once)):
+        part.write.mode("append").parquet(folder)
+        rows = m.spark.readStream.schema(once.schema).parquet(folder)
+        streams.dedup_stream(rows, "event_id", "event_time", out, f"{out}-checkpoint")
+    copies = read_batches(m.spark, f"{out}/copies", "event_id string, copies bigint").groupBy("event_id").agg(F.sum("copies").alias("copies"))
+    return streams.deduplicated(m.spark, out, schema).join(copies, "event_id", "left").select("event_id", "amount", "copies")
 
 
 # ---------------------------------------------------------------------- extras

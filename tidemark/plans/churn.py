@@ -80,13 +80,13 @@ def fit(train: DataFrame, rounds: int = ROUNDS) -> PipelineModel:
     return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), trees]).fit(train)
 
 
-def evaluate(model: PipelineModel, test: DataFrame) -> tuple[float, float]:
-    """Accuracy and area under ROC, both computed by the cluster."""
+def evaluate(model: PipelineModel, test: DataFrame) -> tuple[float, float | None]:
+    """Accuracy and area under ROC, both computed by the cluster; no area where all rows are of one class."""
     scored = model.transform(test)
     accuracy = MulticlassClassificationEvaluator(labelCol="churn_label", metricName="accuracy").evaluate(scored)
     ranked = scored.select("churn_label", vector_to_array("probability")[1].alias("p"))
     auc = auc_exact(ranked, "churn_label", "p").first().auc
-    return accuracy, 0.0 if auc is None else auc
+    return accuracy, auc
 
 
 class Registry:
@@ -98,7 +98,7 @@ class Registry:
     def log(self) -> DataFrame:
         return read_batches(self.spark, f"{self.path}/log", LOG_SCHEMA).drop("batch_id")
 
-    def default(self) -> tuple[str, float] | None:
+    def default(self) -> tuple[str, float | None] | None:
         """Name and AUC of the version promoted last."""
         row = self.log().where("promoted").orderBy(F.desc("trained_at"), F.desc("version_name")).first()
         return None if row is None else (row.version_name, row.auc)
@@ -114,27 +114,32 @@ class Registry:
 class Training:
     version: str
     accuracy: float
-    auc: float
+    auc: float | None
     promoted: bool
     note: str
 
     @property
     def message(self) -> str:
         return (
-            f"Training complete. Accuracy={self.accuracy:.4f}, AUC={self.auc:.4f}, "
+            f"Training complete. Accuracy={self.accuracy:.4f}, AUC={_shown(self.auc)}, "
             f"version={self.version}. {self.note}"
         )
 
 
-def promotion(version: str, auc: float, default: tuple[str, float] | None) -> tuple[bool, str]:
-    """A first model is promoted, a later one only when strictly better."""
+def _shown(auc: float | None) -> str:
+    return "undefined" if auc is None else f"{auc:.4f}"
+
+
+def promotion(version: str, auc: float | None, default: tuple[str, float | None] | None) -> tuple[bool, str]:
+    """A first model is promoted, a later one only when strictly better. An undefined AUC beats nothing and is beaten by any."""
+    # The message texts.
     if default is None:
         return True, "No prior model existed -- promoted as the new default."
     name, best = default
-    if auc > best:
-        return True, f"PROMOTED: new AUC {auc:.4f} beat current default's AUC {best:.4f}."
+    if auc is not None and (best is None or auc > best):
+        return True, f"PROMOTED: new AUC {auc:.4f} beat current default's AUC {_shown(best)}."
     return False, (
-        f"NOT PROMOTED: new AUC {auc:.4f} did not beat current default's AUC {best:.4f}. "
+        f"NOT PROMOTED: new AUC {_shown(auc)} did not beat current default's AUC {_shown(best)}. "
         f"Current default ({name}) remains in production; this run's model ({version}) was still "
         "saved to the registry for reference/comparison, just not deployed."
     )
@@ -161,7 +166,7 @@ def churn_train(mart: DataFrame, registry: Registry, run_ts: dt.datetime, rounds
         ntz(run_ts).alias("trained_at"),
         F.lit(version).alias("version_name"),
         F.lit(accuracy).alias("accuracy"),
-        F.lit(auc).alias("auc"),
+        F.lit(auc).cast("double").alias("auc"),
         F.lit(promoted).alias("promoted"),
         F.lit(note).alias("promotion_note"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -198,30 +199,58 @@ Extractor = Callable[[bytes], tuple[str, int]]
 DOCUMENT_SCHEMA = "file_name string, extracted_text string, page_count int"
 
 
+def html_document(content: bytes) -> tuple[str, int]:
+    """Visible text of an HTML page, and how many pages of 3,000 characters it fills."""
+    text = content.decode("utf-8", "replace")
+    for pattern in _HIDDEN:
+        text = pattern.sub(" ", text)
+    for entity, char in _ENTITIES:
+        text = text.replace(entity, char)
+    text = re.sub(r"[ \t\r\n]+", " ", text).strip(" ")
+    return text, len(text) // 3000 + 1
+
+
+_HIDDEN = [
+    re.compile(r"<(?:script|style)[^>]*>.*?</(?:script|style)>", re.S | re.I | re.A),
+    re.compile(r"<!--.*?-->", re.S),
+    re.compile(r"<[^>]+>"),
+]
+_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&"))
+
+
 def extract_documents(files: DataFrame, extract: Extractor) -> DataFrame:
-    """Text and page count of each file, by a function from content to both.
+    """Text and page count of each file (path, content, file_name if it is not the end of the path).
 
     A file is never split, and only the extracted text leaves the task.
     """
+    if "file_name" not in files.columns:
+        files = files.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             got = [extract(content) for content in batch["content"]]
             yield pd.DataFrame(
                 {
-                    "file_name": batch["path"].str.rsplit("/", n=1).str[-1],
+                    "file_name": batch["file_name"],
                     "extracted_text": [text for text, _ in got],
                     "page_count": [pages for _, pages in got],
                 }
             )
 
-    return files.select("path", "content").mapInPandas(run, DOCUMENT_SCHEMA)
+    return files.select("file_name", "content").mapInPandas(run, DOCUMENT_SCHEMA)
 
 
-def load_documents(spark: SparkSession, folder: str, glob: str, extract: Extractor, run_ts: dt.datetime) -> DataFrame:
+def load_documents(
+    spark: SparkSession, folder: str, glob: str, extract: Extractor, run_ts: dt.datetime, named_by: str | None = None
+) -> DataFrame:
+    """Documents below a folder. They are named by the end of their path, or by the value of their sub-folder ``named_by=value``."""
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(folder)
     )
+    if named_by is not None:
+        escaped = F.regexp_extract("path", rf"/\Q{named_by}\E=([^/]*)/", 1)
+        # a plus sign stands for itself
+        files = files.withColumn("file_name", F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B"))))
     return extract_documents(files, extract).withColumn("_loaded_at", ntz(run_ts))
 
 

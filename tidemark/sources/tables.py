@@ -45,6 +45,10 @@ ROW_KEYS = {
     "embeddings": ["vec_id"],
 }
 FEW_SPLITS = 8
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:

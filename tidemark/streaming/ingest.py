@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.routing import KEY_FIELDS, classify, readable_json
 from tidemark.plans.health import load_history
+from tidemark.session import settle
 from tidemark.sources.files import ntz
 from tidemark.state import committed_batches, exists, read_batches, read_small, write_batch_once, write_small
 
@@ -149,13 +150,46 @@ def route_stream(
 def dedup_stream(
     rows: DataFrame, key: str, event_time: str, out: str, checkpoint: str, within: str = "1 day", every: str | None = None
 ) -> StreamingQuery:
-    """First arrival of each key within the watermark, appended to a parquet table.
+    """First arrival of each key, however late, in ``out/rows``; what was left out is counted per key in ``out/copies``.
 
-    Copies are first dropped within the part of the input they were read in, so a key sent very often
-    reaches the second step as a few rows. ``within`` must cover how late events can be: one older than
-    the watermark cannot be told from a copy and does not come through.
+    Copies of an event lie at most ``within`` (whole days) apart in event time. Rows are kept by day of event; a
+    micro-batch is reduced to one row per key and compared with the stored keys of its own days and those ``within`` of
+    them, so an event of long ago opens the folders of its day and no others, and no state grows with the stream.
+    A row without event time belongs to a day of its own kind. A repeated micro-batch replaces what it wrote.
     """
-    marked = rows.withWatermark(event_time, within).withColumn("_part", F.spark_partition_id())
-    first = marked.dropDuplicatesWithinWatermark([key, "_part"]).drop("_part").dropDuplicatesWithinWatermark([key])
-    writer = first.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-    return run_stream(writer.outputMode("append"), every)
+    apart = dt.timedelta(days=int(within.split()[0])) if within.split()[1].startswith("day") else dt.timedelta(days=1)
+    check_ownership(rows.sparkSession, f"{out}/copies", checkpoint)
+    columns = rows.columns
+    stored_schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", day string, batch_id string"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, name = batch.sparkSession, batch_key(batch_id)
+        claim(spark, f"{out}/copies", checkpoint)
+        day = F.coalesce(F.to_date(event_time).cast("string"), F.lit("none"))
+        one = F.min_by(F.struct(*columns), F.struct(F.isnull(event_time), event_time, F.xxhash64(*columns)))
+        found = batch.groupBy(key).agg(one.alias("_row"), F.count("*").alias("_n"))
+        first = settle(found.select("_row.*", F.col("_n").alias("_n")).withColumn("day", day), "arrived")
+        days = sorted(r.day for r in first.select("day").distinct().collect())  # as many as the batch has days
+        known = spark.createDataFrame([], f"`{key}` string")
+        if exists(spark, f"{out}/rows"):
+            stored = spark.read.schema(stored_schema).parquet(f"{out}/rows").where(F.col("batch_id") != name)
+            near = {str(dt.date.fromisoformat(d) + dt.timedelta(days=i)) for d in days if d != "none" for i in range(-apart.days, apart.days + 1)}
+            known = stored.where(F.col("day").isin(sorted({*near, *days}))).select(key).distinct()
+        seen = known.select(F.col(key).alias("_key"), F.lit(True).alias("_seen"))
+        told = first.join(seen, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("_new", F.col("_seen").isNull())
+        told = settle(told.drop("_key", "_seen"), "compared")
+        new = told.where("_new").select(*columns, "day", F.lit(name).alias("batch_id"))
+        (
+            new.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "batch_id").parquet(f"{out}/rows")
+        )
+        copies = told.select(key, (F.col("_n") - F.col("_new").cast("int")).alias("copies")).where("copies > 0")
+        write_batch_once(copies, f"{out}/copies", name)
+
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return run_stream(writer, every)
+
+
+def deduplicated(spark: SparkSession, out: str, schema: str) -> DataFrame:
+    """The rows that ``dedup_stream`` has kept."""
+    return spark.read.schema(schema).parquet(f"{out}/rows") if exists(spark, f"{out}/rows") else spark.createDataFrame([], schema)
