@@ -115,9 +115,42 @@ def test_state_changes_across_slices(spark):
         if a in last and last[a][0] != s:
             expected.add((a, t0 + dt.timedelta(minutes=m), last[a][0], s, Decimal(m) - last[a][1]))
         last[a] = (s, Decimal(m))
-    for unit in ("day", "hour"):
-        got = extras.activity_state_changes(df, unit)
-        assert {tuple(r) for r in got.collect()} == expected
+    for merged in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
+        try:
+            got = extras.activity_state_changes(df)
+            assert {tuple(r) for r in got.collect()} == expected
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_ranges_are_even_where_a_third_of_all_rows_are_alike(spark, monkeypatch):
+    t0 = dt.datetime(2024, 1, 1)
+    made = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), F.col("id") % 700)).alias("account_id"),
+        F.when(F.col("id") % 2 == 0, "OPEN").otherwise("FROZEN").alias("account_status"),
+        F.lit(1).cast("decimal(12,2)").alias("balance"),
+        F.lit(t0).cast("timestamp_ntz").alias("activity_timestamp"),
+        F.lit("f").alias("_source_file"),
+    )
+    kept = {}
+    real = extras.settle
+    monkeypatch.setattr(extras, "settle", lambda df, name: kept.setdefault(name, real(df, name)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        changes = extras.activity_state_changes(made).groupBy("account_id").count().collect()
+        sizes = sorted(r["count"] for r in kept["ranges"].groupBy("_range").count().collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 4 and sizes[-1] < 1.5 * sizes[0]
+    assert {r["account_id"]: r["count"] for r in changes}["hot"] == 1  # all frozen rows sort before the open ones
+
+
+def test_transactions_are_read_once_for_their_rates(spark):
+    txns = spark.range(5).select(F.lit("C1").alias("currency"), F.lit(dt.date(2024, 3, 1)).alias("transaction_date"), F.col("id").cast("decimal(12,2)").alias("amount"))
+    rates = spark.createDataFrame([("C1", dt.date(2024, 1, 30), Decimal("2"), dt.datetime(2024, 1, 30))], "quote_currency string, rate_date date, exchange_rate decimal(12,6), ingested_at timestamp_ntz")
+    plan = extras.fx_to_usd(txns, rates, F.col("amount"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1
 
 
 def test_audit_hash_tells_null_from_empty(spark):

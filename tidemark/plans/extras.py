@@ -16,43 +16,42 @@ HASH_NULL = "\u0000"
 BALANCE_TOLERANCE = 0.005
 
 
-def rates_as_of(days: DataFrame, rates: DataFrame) -> DataFrame:
-    """(currency, day, rate): for each pair asked for, the newest rate of that day or before.
+def rates_by_month(rates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(currency, month, by_day): the rate known on each day from a currency's first to its last rate; and
+    (currency, last_day, last_rate), which holds from then on.
 
-    Both sides are one row per currency and day by then, so a window holds no more than the days of
-    one currency however many transactions it has.
+    A day's rate is the one received last; a day without one has that of the day before. A window holds the days of
+    one currency, however many transactions there are.
     """
     daily = rates.groupBy(F.col("quote_currency").alias("currency"), F.col("rate_date").alias("day")).agg(
         F.max_by("exchange_rate", F.struct("ingested_at", "exchange_rate")).alias("known_rate")
     )
-    asked = days.select("currency", "day").distinct().withColumn("asked", F.lit(True))
-    both = daily.withColumn("asked", F.lit(False)).unionByName(asked, allowMissingColumns=True)
-    per_day = both.groupBy("currency", "day").agg(
-        F.max("known_rate").alias("known_rate"), F.max("asked").alias("asked")
+    daily = daily.where(F.col("known_rate").isNotNull() & F.col("day").isNotNull())
+    spans = daily.groupBy("currency").agg(
+        F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.max_by("known_rate", "day").alias("last_rate")
     )
+    days = spans.select("currency", F.explode(F.sequence("first_day", "last_day")).alias("day"))
     upto = Window.partitionBy("currency").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        per_day.withColumn("rate", F.last("known_rate", ignorenulls=True).over(upto))
-        .where("asked")
-        .select("currency", "day", "rate")
-    )
+    filled = days.join(daily, ["currency", "day"], "left").withColumn("rate", F.last("known_rate", ignorenulls=True).over(upto))
+    by_day = F.map_from_entries(F.collect_list(F.struct(F.dayofmonth("day"), "rate")))
+    months = filled.groupBy("currency", F.trunc("day", "month").alias("month")).agg(by_day.alias("by_day"))
+    return months, spans.drop("first_day")
 
 
 def fx_to_usd(transactions: DataFrame, rates: DataFrame, spread_by: Column) -> DataFrame:
     """Transactions with ``amount_usd``; NULL where no rate is known yet.
 
-    Rates say how much of a currency one dollar buys, so amounts are divided by them. ``spread_by``
-    tells transactions apart where a busy day of one currency has to be split.
+    Rates say how much of a currency one dollar buys, so amounts are divided by them. The transactions are read
+    once: they meet a row per currency and month, and a row per currency for the days after its last rate.
+    ``spread_by`` tells transactions apart where a busy currency has to be split.
     """
-    days = transactions.where(F.col("currency") != "USD").select(
-        "currency", F.col("transaction_date").alias("day")
-    )
-    known = settle(rates_as_of(days, rates).withColumnRenamed("day", "transaction_date"), "rates")
-    usd = F.when(F.col("currency") == "USD", F.col("amount")).otherwise(
-        F.round(F.col("amount") / F.col("rate"), 2).cast(C.MONEY)
-    )
-    priced = lookup_join(transactions, known, ["currency", "transaction_date"], spread_by, "left")
-    return priced.withColumn("amount_usd", usd)
+    months, newest = (settle(t, "rates") for t in rates_by_month(rates))
+    day = F.col("transaction_date")
+    priced = lookup_join(transactions.withColumn("month", F.trunc(day, "month")), months, ["currency", "month"], spread_by, "left")
+    priced = lookup_join(priced, newest, ["currency"], spread_by, "left")
+    rate = F.when(day > F.col("last_day"), F.col("last_rate")).otherwise(F.try_element_at("by_day", F.dayofmonth(day)))
+    usd = F.when(F.col("currency") == "USD", F.col("amount")).otherwise(F.round(F.col("amount") / F.col("rate"), 2).cast(C.MONEY))
+    return priced.withColumn("rate", rate).withColumn("amount_usd", usd).drop("month", "by_day", "last_day", "last_rate")
 
 
 def rolling_30_60_90(
@@ -128,32 +127,35 @@ def case_open_age(cases: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def _previous_in_slices(df: DataFrame, key: str, order: Column, slice_col: Column, values: list[str]) -> DataFrame:
+def _previous_in_ranges(df: DataFrame, key: str, order: Column, values: list[str]) -> DataFrame:
     """Adds ``prev_<value>`` of the row before, per key.
 
-    The rows of a key are cut into time slices that are worked on apart; the first row of a slice
-    takes over from the last row of the slice before, known from one row per slice.
+    All rows are put in order of key and time and cut into ranges of about equal numbers of rows, whatever
+    the keys; equal rows are told apart by where they were read, so any key can be cut anywhere. The first row
+    of a range takes over from the last row of the range before, known from one row per range.
     """
-    rows = df.withColumns({"_order": order, "_slice": slice_col})
-    now = F.struct(*values)
-    within = Window.partitionBy(key, "_slice").orderBy("_order")
-    ends = rows.groupBy(key, "_slice").agg(F.max_by(now, "_order").alias("_end"))
-    across = Window.partitionBy(key).orderBy("_slice")
-    carried = ends.select(key, "_slice", F.lag("_end").over(across).alias("_carried"))
+    # written first, as dealing out by range reads its input twice
+    placed = settle(df.withColumns({"_order": order, "_place": F.monotonically_increasing_id()}), "placed")
+    ranged = placed.repartitionByRange(key, "_order", "_place")
+    rows = settle(ranged.withColumn("_range", F.spark_partition_id()), "ranges")  # numbers are given once
+    now = F.struct(key, *values)
+    within = Window.partitionBy("_range").orderBy(key, "_order", "_place")
+    ends = rows.groupBy("_range").agg(F.max_by(now, F.struct(key, "_order", "_place")).alias("_end"))
+    # as many rows as there are ranges
+    carried = settle(ends.select("_range", F.lag("_end").over(Window.orderBy("_range")).alias("_carried")), "range-ends")
     out = rows.withColumns({"_lag": F.lag(now).over(within), "_nth": F.row_number().over(within)})
-    out = out.join(carried, [key, "_slice"])
+    out = out.join(F.broadcast(carried), "_range")
     before = F.when(F.col("_nth") > 1, F.col("_lag")).otherwise(F.col("_carried"))
-    return out.withColumns({f"prev_{v}": before[v] for v in values}).drop(
-        "_order", "_slice", "_lag", "_nth", "_carried"
-    )
+    of_key = F.when(before[key] == F.col(key), before)
+    return out.withColumns({f"prev_{v}": of_key[v] for v in values}).drop("_order", "_place", "_range", "_lag", "_nth", "_carried")
 
 
-def activity_state_changes(activity: DataFrame, slice_unit: str = "day") -> DataFrame:
+def activity_state_changes(activity: DataFrame) -> DataFrame:
     """Events at which an account's status differs from the one before, with the balance moved since."""
     order = F.struct("activity_timestamp", "_source_file", "account_status", "balance")
     seen = activity.where(F.col("account_id").isNotNull() & F.col("activity_timestamp").isNotNull())
-    slices = F.date_trunc(slice_unit, F.col("activity_timestamp"))
-    rows = _previous_in_slices(seen, "account_id", order, slices, ["account_status", "balance"])
+    seen = seen.select("account_id", "activity_timestamp", "_source_file", "account_status", "balance")
+    rows = _previous_in_ranges(seen, "account_id", order, ["account_status", "balance"])
     return rows.where(F.col("prev_account_status") != F.col("account_status")).select(
         "account_id",
         "activity_timestamp",
