@@ -63,6 +63,33 @@ def test_run_tests_reports_pass_and_fail(spark, run_ts):
     }
 
 
+def test_tests_observed_while_writing_equal_those_run_after(spark, run_ts, tmp_path):
+    from tidemark.plans.graph import _settled
+
+    raw = {
+        "m": spark.createDataFrame([("a", "x"), ("a", None), (None, "y")] * 20, "k string, s string").repartition(5),
+        "p": spark.createDataFrame([("b", "x")], "k string, s string"),
+    }
+    suite = {"m": Q.ModelTests(unique=("k",), not_null=("k", "s"), accepted={"s": ("x",)}), "p": Q.ModelTests(not_null=("k",))}
+    observed = Q.Observed(suite)
+    written = {n: _settled(spark, n, df, f"file://{tmp_path}", observed) for n, df in raw.items()}
+    assert observed.rows("m") == 60 and len(observed.failures("m")) == 3
+    results = [
+        {tuple(r) for r in Q.run_tests(models, suite, [("m", "p")], seen).collect()} for models, seen in ((raw, None), (written, observed))
+    ]
+    assert results[0] == results[1] and ("m", "not_null", "s", 20) in results[0] and ("m", "rowcount_parity", "", 1) in results[0]
+
+
+def test_a_month_opens_its_folders_only(spark, tmp_path):
+    from tidemark.plans.graph import _settled
+
+    days = spark.range(90).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("transaction_date"), "id")
+    stored = _settled(spark, "int_transactions_unified", days, f"file://{tmp_path}")
+    march = stored.where("month = '2024-03'")
+    assert march.count() == 30
+    assert "PartitionFilters: [isnotnull(month" in march._jdf.queryExecution().executedPlan().toString()
+
+
 def test_duplicates_count_rows_beyond_the_first(spark):
     df = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), (None,), (None,)], "k string")
     assert Q.duplicate_rows(df, F.col("k")).first().duplicate_rows == 3

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -146,12 +146,17 @@ class ModelTests:
     parents: dict[str, tuple[str, str]] = field(default_factory=dict)
 
 
-def _row_tests(model: str, df: DataFrame, tests: ModelTests) -> DataFrame | None:
-    """not_null and accepted_values of a model together: one scan, no shuffle of rows."""
+def _checks(tests: ModelTests) -> list[tuple[str, str, Column]]:
+    """The tests that look at one row at a time, with how many rows fail."""
     checks = [("not_null", c, F.count_if(F.col(c).isNull())) for c in tests.not_null]
-    checks += [
+    return checks + [
         ("accepted_values", c, F.count_if(~F.col(c).isin(*values))) for c, values in tests.accepted.items()
     ]
+
+
+def _row_tests(model: str, df: DataFrame, tests: ModelTests) -> DataFrame | None:
+    """not_null and accepted_values of a model together: one scan, no shuffle of rows."""
+    checks = _checks(tests)
     if not checks:
         return None
     counts = df.agg(*[failures.alias(f"_{i}") for i, (_, _, failures) in enumerate(checks)])
@@ -166,6 +171,34 @@ def _row_tests(model: str, df: DataFrame, tests: ModelTests) -> DataFrame | None
     return counts.select(F.lit(model).alias("model_name"), F.inline(rows))
 
 
+class Observed:
+    """Row tests and row counts of models, counted while the models are written.
+
+    The metrics are taken by the tasks that write, which count once each however often they are repeated.
+    """
+
+    def __init__(self, suite: dict[str, ModelTests]):
+        self.suite = suite
+        self._seen: dict[str, Observation] = {}
+
+    def watch(self, model: str, df: DataFrame) -> DataFrame:
+        """The same rows, to be written next."""
+        checks = _checks(self.suite[model]) if model in self.suite else []
+        counts = [failures.alias(f"_{i}") for i, (_, _, failures) in enumerate(checks)]
+        self._seen[model] = Observation(model)
+        return df.observe(self._seen[model], F.count(F.lit(1)).alias("_rows"), *counts)
+
+    def rows(self, model: str) -> int | None:
+        return self._seen[model].get["_rows"] if model in self._seen else None
+
+    def failures(self, model: str) -> list[tuple[str, str, str, int]] | None:
+        """(model, test, column, failures) of a model that was written."""
+        if model not in self._seen:
+            return None
+        found = self._seen[model].get
+        return [(model, test, column, found[f"_{i}"]) for i, (test, column, _) in enumerate(_checks(self.suite[model]))]
+
+
 def _counted(model: str, test: str, column: str, failures: Column, df: DataFrame) -> DataFrame:
     return df.agg(F.coalesce(failures, F.lit(0)).alias("failures")).select(
         F.lit(model).alias("model_name"),
@@ -179,12 +212,20 @@ def run_tests(
     models: dict[str, DataFrame],
     suite: dict[str, ModelTests],
     parity: Sequence[tuple[str, str]] = (),
+    observed: Observed | None = None,
 ) -> DataFrame:
-    """Failure count of every test: (model_name, test_name, column_name, failures)."""
+    """Failure count of every test: (model_name, test_name, column_name, failures).
+
+    What was ``observed`` while the models were written is not counted again; keys are compared over their own
+    columns of the written tables.
+    """
     parts: list[DataFrame] = []
+    known: list[tuple[str, str, str, int]] = []
     for model, tests in suite.items():
         df = models[model]
-        by_row = _row_tests(model, df, tests)
+        seen = observed.failures(model) if observed else None
+        by_row = _row_tests(model, df, tests) if seen is None else None
+        known += seen or []
         if by_row is not None:
             parts.append(by_row)
         for c in tests.unique:
@@ -193,8 +234,15 @@ def run_tests(
             orphans = relationship_failures(df, c, models[parent], parent_column)
             parts.append(_counted(model, "relationships", c, F.sum("n_records"), orphans))
     for summary, source in parity:
+        counts = (observed.rows(summary), observed.rows(source)) if observed else (None, None)
+        if None not in counts:
+            known.append((summary, "rowcount_parity", "", int(counts[0] != counts[1])))
+            continue
         gap = rowcount_parity_failures(models[summary], models[source])
         parts.append(_counted(summary, "rowcount_parity", "", F.count("*"), gap))
+    if known:
+        spark = next(iter(models.values())).sparkSession
+        parts.append(spark.createDataFrame(known, "model_name string, test_name string, column_name string, failures bigint"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.quality import Observed
 from tidemark.plans import intermediate as I
 from tidemark.plans import marts as M
 from tidemark.plans.staging import staging_models
@@ -14,39 +15,45 @@ from tidemark.plans.staging import staging_models
 MONTHLY = {"int_transactions_unified": "transaction_date"}
 
 
-def _settled(spark: SparkSession, name: str, df: DataFrame, folder: str | None) -> DataFrame:
-    """Write the model as a table and read it back, or hand on the plan as it is."""
+def _settled(spark: SparkSession, name: str, df: DataFrame, folder: str | None, observed: Observed | None = None) -> DataFrame:
+    """Write the model as a table and read it back, or hand on the plan as it is.
+
+    A model by month has the column ``month``: a filter on it opens the folders of those months only.
+    """
     if folder is None:
         return df
     path, date = f"{folder}/{name}", MONTHLY.get(name)
+    watch = (lambda rows: rows) if observed is None else (lambda rows: observed.watch(name, rows))
     if date is None:
-        df.write.mode("overwrite").parquet(path)
+        watch(df).write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
     # One folder per month, days in order within a file: readers of a period skip folders and row
     # groups. The rebalance gathers a month's rows, and AQE still splits a month too big for a task.
     monthly = df.withColumn("month", F.date_format(date, "yyyy-MM"))
-    (
-        monthly.hint("rebalance", "month")
-        .sortWithinPartitions("month", date)
-        .write.mode("overwrite")
-        .partitionBy("month")
-        .parquet(path)
-    )
-    return spark.read.schema(monthly.schema).parquet(path).drop("month")
+    ordered = monthly.hint("rebalance", "month").sortWithinPartitions("month", date)
+    watch(ordered).write.mode("overwrite").partitionBy("month").parquet(path)
+    return spark.read.schema(monthly.schema).parquet(path)
 
 
 def build_models(
-    spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date, folder: str | None = None
+    spark: SparkSession,
+    raw: dict[str, DataFrame],
+    as_of: dt.date,
+    folder: str | None = None,
+    observed: Observed | None = None,
 ) -> dict[str, DataFrame]:
     """All staging, intermediate and mart models.
 
     Staging stays lazy. With a folder, each intermediate model and mart is written once there and
-    its readers start from the written table instead of repeating the work below it.
+    its readers start from the written table instead of repeating the work below it. With ``observed`` staging
+    models are written too, and the row tests of all models are counted by the tasks that write them.
     """
     m = dict(staging_models(raw))
+    if folder is not None and observed is not None:
+        m = {name: _settled(spark, name, df, folder, observed) for name, df in m.items()}
 
     def add(name: str, df: DataFrame) -> None:
-        m[name] = _settled(spark, name, df, folder)
+        m[name] = _settled(spark, name, df, folder, observed)
 
     add("int_accounts_enriched", I.int_accounts_enriched(m["stg_accounts"], m["stg_accounts_current"]))
     add(
