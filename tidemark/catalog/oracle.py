@@ -654,6 +654,16 @@ def oracle_sql() -> dict[str, str]:
     o["churn_split"] = build("""
         SELECT substr(md5(customer_id || ':42'), 1, 8) < 'cccccccc' AS is_train, churn_label, count(*) AS customers
         FROM feat GROUP BY ALL""")
+    # The version of the run and the note on a first model.
+    for name in ("churn_train", "training_log_latest"):
+        o[name] = build("""
+        SELECT 'v_20240131_080000' AS version_name, TRUE AS promoted,
+               'No prior model existed -- promoted as the new default.' AS promotion_note, TRUE AS metrics_in_range,
+               count(*) FILTER (substr(md5(customer_id || ':42'), 1, 8) < 'cccccccc') AS trained_rows,
+               count(*) FILTER (substr(md5(customer_id || ':42'), 1, 8) >= 'cccccccc') AS held_out_rows
+        FROM feat""")
+    o["churn_score"] = build("""
+        SELECT customer_id, TRUE AS in_range, '2024-01-31 08:00:00' AS scored_at, 'v_20240131_080000' AS model_version FROM feat""")
     o["auc_by_rank"] = build("""
         SELECT positives, negatives, round(wins::DOUBLE / (2.0::DOUBLE * positives * negatives), 9) AS auc FROM (
             SELECT CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives, sum(pos * (2 * below + neg)) AS wins FROM (

@@ -881,12 +881,24 @@ def _mart_table(m: Models) -> ReplacedTable:
     return mart
 
 
+def _log_facts(m: Models, registry: churn.Registry) -> DataFrame:
+    """The training log in what does not depend on the fit, next to the rows it was fitted and judged on."""
+    split = churn.churn_split(churn.churn_features(_mart_table(m).read())).agg(
+        F.count_if("is_train").alias("trained_rows"), F.count_if(~F.col("is_train")).alias("held_out_rows")
+    )
+    in_range = F.col("accuracy").between(0, 1) & (F.col("auc").isNull() | F.col("auc").between(0, 1))
+    log = churn.training_log_latest(registry).select(
+        "version_name", "promoted", "promotion_note", in_range.alias("metrics_in_range")
+    )
+    return log.withColumns({c: split.select(c).scalar() for c in split.columns})
+
+
 @query
 def churn_train(m: Models) -> DataFrame:
-    """Train once per mart version, then show the training log with accuracy and AUC."""
+    """Train once per mart version; version, promotion and rows of the training."""
     registry = _registry(m)
     churn.retrain_if_changed(_mart_table(m), registry, RUN_TS)
-    return churn.training_log_latest(registry)
+    return _log_facts(m, registry)
 
 
 @query
@@ -894,15 +906,22 @@ def training_log_latest(m: Models) -> DataFrame:
     registry = _registry(m)
     if registry.default() is None:
         churn.churn_train(_mart_table(m).read(), registry, RUN_TS)
-    return churn.training_log_latest(registry)
+    return _log_facts(m, registry)
 
 
 @query
 def churn_score(m: Models) -> DataFrame:
+    """Every customer with all features, scored by the version in production; the score itself only by its range."""
     registry, mart = _registry(m), _mart_table(m)
     if registry.default() is None:
         churn.churn_train(mart.read(), registry, RUN_TS)
-    return churn.churn_score(mart.read(), registry, RUN_TS)
+    scores = churn.churn_score(mart.read(), registry, RUN_TS)
+    return scores.select(
+        "customer_id",
+        F.col("churn_probability").between(0, 1).alias("in_range"),
+        "scored_at",
+        F.lit(registry.default()[0]).alias("model_version"),
+    )
 
 
 @query
