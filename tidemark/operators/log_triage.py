@@ -11,12 +11,11 @@ from tidemark.state import read_batches, write_batch
 
 # The error patterns, the text put before what they capture, and the fallback.
 ANSI = r"\x1b\[[0-9;]*m"
-NAME = r"\s+([A-Za-z0-9_.]+)"
 ERROR_PATTERNS = (
-    (r"ERROR creating.*model" + NAME, "Model failed to build: "),
-    (r"Database Error in (?:model|test|snapshot)" + NAME, "Database error: "),
-    (r"Compilation Error in (?:model|test|snapshot)" + NAME, "Compilation error: "),
-    (r"Failure in test" + NAME, "Test failed: "),
+    (r"ERROR creating.*model\s+([A-Za-z0-9_.]+)", "Model failed to build: "),
+    (r"Database Error in (?:model|test|snapshot)\s+([A-Za-z0-9_.]+)", "Database error: "),
+    (r"Compilation Error in (?:model|test|snapshot)\s+([A-Za-z0-9_.]+)", "Compilation error: "),
+    (r"Failure in test\s+([A-Za-z0-9_.]+)", "Test failed: "),
 )
 FALLBACK = "No specific dbt error pattern matched -- check the full task log."
 
