@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import bpe_matrix, packing, tokens, wavelet
@@ -69,6 +70,34 @@ def test_wavelet_matrix_answers_like_the_sequence():
     assert matrix.select(7, 3) == np.flatnonzero(ids == 7)[3]
 
 
+def test_wavelet_lookups_open_few_chunks():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 511, 512, wavelet.CHUNK - 1, wavelet.CHUNK, 5 * wavelet.CHUNK + 77):
+        ids = np.minimum(rng.zipf(1.3, n), 50_000).astype(np.uint16)
+        data = wavelet.WaveletMatrix.of(ids, 16).to_bytes()
+        assert (wavelet.WaveletMatrix.from_bytes(data).sequence() == ids).all()
+        for place in rng.integers(0, n, 5 if n else 0).tolist():
+            matrix = wavelet.WaveletMatrix.from_bytes(data)
+            symbol = int(ids[place])
+            assert matrix.access(np.array([place]))[0] == symbol
+            assert matrix.unpacked <= 16 * wavelet.CHUNK // 8
+            before = int((ids[:place] == symbol).sum())
+            assert matrix.rank(symbol, place) == before and matrix.select(symbol, before) == place
+            assert matrix.count(symbol, 3, n) == (ids[3:] == symbol).sum()
+            assert (matrix.occurrences(symbol) == np.flatnonzero(ids == symbol)).all()
+        with pytest.raises(IndexError):
+            wavelet.WaveletMatrix.from_bytes(data).select(65_000, 0)
+
+
+def test_a_shard_whose_counts_disagree_fails(monkeypatch):
+    monkeypatch.setattr(wavelet.WaveletMatrix, "access", lambda self, places: np.full(len(places), 7, np.uint32))
+    row = {"part": 0, "seq": 0, "planes": wavelet.WaveletMatrix.of(np.array([5, 0], np.uint16), 16).to_bytes()}
+    row |= {"doc_ids": np.array([1], "<i8").tobytes(), "no_id": b"\0", "lengths": np.array([2], "<i8").tobytes()}
+
+    with pytest.raises(ValueError, match="disagree"):
+        list(wavelet._documents(iter([pa.RecordBatch.from_pylist([row])])))
+
+
 def test_round_trip_of_odd_rows(odd_docs, no_docs):
     got = {(r.doc_id, r.n_tokens, r.decoded_sha256) for r in bpe_matrix.round_trip(odd_docs).collect()}
     want = {(r.doc_id, len(ids_of(r.text)), hashlib.sha256((r.text or "").encode()).hexdigest()) for r in odd_docs.collect()}
