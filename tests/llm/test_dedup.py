@@ -115,12 +115,36 @@ def test_repeated_strings_equal_brute_force(spark, monkeypatch):
     ids = [*range(len(texts) - 2), None, 3]
     df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
     want = Counter(zip(ids, brute([(t or "").encode() for t in texts], 40)))
-    for hot in (50_000, 5):
+    for hot in (50_000, 5, 1):
         monkeypatch.setattr(suffix_dedup.repeated_spans, "__defaults__", (200, 64, hot))
         got = Counter((r[0], (bytes(r[1]), *r[2:])) for r in suffix_dedup.dedup_strings(df, 40).collect())
         assert got == want
 
 
+def test_hot_anchors_are_ordered_in_smaller_groups(spark, monkeypatch):
+    rng = random.Random(6)
+    shared = "".join(rng.choice("qrstuv") for _ in range(70))
+    other = "".join(rng.choice("abcd") for _ in range(30))
+    texts = []
+    for _ in range(400):
+        cut = sorted(rng.sample(range(71), 2))
+        texts.append(f"{rng.randrange(50)}{other[: rng.randint(0, 30)]}{shared[cut[0] : cut[1]]}{other[rng.randint(0, 30) :]}")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = dict(enumerate(brute([t.encode() for t in texts], 40)))
+    widths = []
+    split = suffix_dedup.partial
+
+    def watched(function, **given):
+        widths.append(given["width"])
+        return split(function, **given)
+
+    monkeypatch.setattr(suffix_dedup, "partial", watched)
+    monkeypatch.setattr(suffix_dedup.repeated_spans, "__defaults__", (200, 64, 3))
+    got = {r[0]: (bytes(r[1]), *r[2:]) for r in suffix_dedup.dedup_strings(df, 40).collect()}
+    assert got == want and sum(w[2] for w in want.values()) > 0
+    assert widths == [4, 1]  # 29 places of an anchor, in eighths
+
+
 def test_texts_without_repeats(odd_docs, no_docs):
     out = suffix_dedup.without_repeats(odd_docs)
     assert out.columns == odd_docs.columns and out.count() == 12

@@ -19,9 +19,12 @@ collection. Texts are therefore first cut into pieces that can be ordered apart:
   of them, whatever the length of the texts. The hash only gathers; bytes decide.
 
 Shuffle files, read sequentially, take the place of the external files; a task holds ``TASK_PIECES``
-pieces or one anchor's. An anchor above ``HOT_PIECES`` pieces is not gathered: its pieces are reduced to
-different ones, the strings of those are counted by 128-bit digests, weighted by the copies of their piece
-and aggregated before the shuffle, and what is repeated is joined back.
+pieces or one anchor's. An anchor above ``HOT_PIECES`` pieces is reduced to different
+ones first (equal in all bytes; all strings of one that occurs again are repeated). If it still has more, its
+pieces are cut into ``PARTS`` by the place of the anchor in their strings: the strings of a part share
+more bytes around the anchor, which gather them into smaller groups; parts are reduced to different ones
+and, where a group is still too large, cut again, down to single strings, of which equal ones are one. Every
+group is ordered column by column as above. Only the way back from a piece to its copies goes by SHA-256.
 
 Defined cases: a null or empty text, or one shorter than ``length``, keeps all bytes; overlapping
 occurrences and occurrences in the same text count; a repeated row makes all of its strings repeated; a
@@ -30,11 +33,12 @@ null id is kept; strings are judged on the input, so every copy goes, the first
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,9 +51,11 @@ ANCHOR = 64
 BATCH_BYTES = 2 << 20
 TASK_PIECES = 20_000
 HOT_PIECES = 50_000
+PARTS = 8
 _BASE = 0x9E3779B97F4A7C15 | 1
 _PIECES = "hash long, row long, start long, strings int, shift int"
 _ANCHORS = _PIECES + ", n long, spread long"
+_CROPS = "row binary, start long, hash long, shift int, lo int, hi int, piece binary, n long"
 
 
 def _powers(n: int, base: int) -> np.ndarray:
@@ -214,8 +220,88 @@ def _columnwise(batches: Iterator[pa.RecordBatch], length: int, anchor: int) ->
         groups = np.concatenate([[0], np.cumsum(values[1:] != values[:-1])])
         found, first = repeated_strings(table.column("piece").to_pylist(), table.column("shift").to_numpy(), groups, length, anchor)
         piece, start, stop = _spans(found, first, table.column("start").to_numpy(), length)
-        rows = table.column("row").to_numpy()[piece]
-        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(start), pa.array(stop)], ["row", "start", "stop"])
+        rows = table.column("row").take(pa.array(piece)).combine_chunks()
+        yield pa.RecordBatch.from_arrays([rows, pa.array(start), pa.array(stop)], ["row", "start", "stop"])
+
+
+def _split(batches: Iterator[pa.RecordBatch], width: int, length: int, anchor: int) -> Iterator[pa.RecordBatch]:
+    """Pieces cut by how many bytes their strings have before the anchor, ``width`` numbers to a part.
+
+    All strings of a part hold the same stretch around the anchor, by whose bytes the part is gathered.
+    """
+    before = length - anchor
+    names = [x.split()[0] for x in _CROPS.split(", ")]
+    for batch in batches:
+        out: list[tuple] = []
+        for row, key, shift, lo, hi, piece, n in zip(*(batch.column(c).to_pylist() for c in ("id", *names[2:]))):
+            last = shift - (len(piece) - length)
+            for a in range(lo, hi + 1, width):
+                b = min(a + width - 1, hi)
+                most, least = min(b, shift), max(a, last)
+                if least > most:
+                    continue
+                around = piece[shift - a : shift + anchor + before - b]
+                gathered = xxhash.xxh64_intdigest(b"%d %d %d " % (key, a, b) + around) - (1 << 63)
+                out.append((row, shift - most, gathered, most, a, b, piece[shift - most : shift - least + length], n))
+        columns = zip(*out) if out else [()] * len(names)
+        types = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64()]
+        yield from pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names).to_batches(max_chunksize=20_000)
+
+
+def _merged(spans: DataFrame) -> DataFrame:
+    """Spans of a row that touch or overlap as one."""
+    order = Window.partitionBy("row").orderBy("start", "stop")
+    reached = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.when(F.col("start") <= reached, 0).otherwise(1)
+    runs = spans.withColumn("new", new).withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("row", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("run")
+
+
+def _few(keys: DataFrame) -> tuple[DataFrame, int]:
+    """Written keys, sent to all tasks if there are few, and how many (counted up to a limit)."""
+    keys = settle(keys, "hot-anchors")
+    n = keys.limit(BROADCAST_ROWS + 1).count()
+    return (F.broadcast(keys) if n <= BROADCAST_ROWS else keys), n
+
+
+def _hot_spans(cut: DataFrame, length: int, anchor: int, hot: int) -> DataFrame:
+    """Spans of repeated strings in pieces whose anchors have very many: the same order over different pieces."""
+    same = ["hash", "shift", "lo", "hi", "piece"]
+    label = F.encode(F.concat_ws(":", *same[:-1]), "utf-8")
+    named = F.unhex(F.sha2(F.concat(label, F.col("piece")), 256))
+    width = length - anchor + 1
+    level = cut.select(
+        "row", "start", "hash", "shift", F.lit(0).alias("lo"), F.lit(width - 1).alias("hi"), "piece", F.lit(1).cast("long").alias("n")
+    )
+    ways, found = [], []
+    while True:
+        level = level.withColumn("id", named)
+        ways.append(level.select("id", F.col("row").alias("up"), F.col("start").alias("at")))
+        different = settle(level.groupBy("id", *same).agg(F.sum("n").alias("n")), "hot-pieces")
+        over, n_over = _few(different.groupBy("hash").count().where(F.col("count") > hot).select("hash"))
+        if width == 1:
+            n_over = 0  # equal strings, which are one row
+        usual = different.join(over, "hash", "left_anti") if n_over else different
+        usual = usual.select(F.col("id").alias("row"), F.lit(0).cast("long").alias("start"), "hash", "shift", "piece")
+        usual = usual.repartition("hash").sortWithinPartitions("hash")
+        # All strings of a piece that occurs again are repeated.
+        size = F.octet_length("piece").cast("long")
+        whole = different.where("n > 1").select(F.col("id").alias("row"), F.lit(0).cast("long").alias("start"), size.alias("stop"))
+        spans = usual.mapInArrow(lambda rows: _columnwise(rows, length, anchor), "row binary, start long, stop long")
+        found.append(spans.unionByName(whole))
+        if not n_over:
+            break
+        width = -(-width // PARTS)
+        crops = different.join(over, "hash", "left_semi").select("id", *same, "n")
+        level = settle(crops.mapInArrow(partial(_split, width=width, length=length, anchor=anchor), _CROPS), "crops")
+    spans = None
+    for way, own in zip(reversed(ways), reversed(found)):
+        # Stored, so that the join can split the many copies of a piece.
+        spans = settle(_merged(own if spans is None else own.unionByName(spans)), "hot-runs")
+        spans = way.join(spans, F.col("id") == F.col("row")).select(
+            F.col("up").alias("row"), (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("stop")).alias("stop")
+        )
+    return spans
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -258,41 +344,20 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
             columns = [fields["hash"], pa.array(batch.column("row").to_numpy()[which]), *list(fields.values())[1:], pa.array(cut, pa.binary())]
             yield from pa.Table.from_arrays(columns, names).to_batches(max_chunksize=20_000)
 
-    def strings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content, piece, n in zip(*(batch.column(c).to_pylist() for c in ("content", "piece", "n"))):
-                starts = range(len(piece) - length + 1)
-                digests = [hashlib.blake2b(piece[i : i + length], digest_size=16).digest() for i in starts]
-                columns = [pa.array(digests, pa.binary()), pa.array([content] * len(starts)), pa.array(starts, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([n] * len(starts), pa.int64())], ["digest", "content", "at", "n"])
-
     found = keyed.select("row", "text").mapInArrow(anchors, _ANCHORS)
     repeated = found.repartition("spread").sortWithinPartitions("spread").mapInArrow(_repeated_only, _PIECES + ", total long")
     runs = repeated.groupBy("row").agg(F.collect_list(F.struct("hash", "start", "strings", "shift", "total")).alias("runs"))
     runs = settle(runs, "pieces")
     cut = keyed.select("row", "text").join(runs, "row").mapInArrow(pieces, _PIECES + ", piece binary")
     often = runs.select(F.explode("runs").alias("run")).where(F.col("run.total") > hot).select("run.hash").distinct()
-    often = settle(often, "hot-anchors")
-    n_often = often.limit(BROADCAST_ROWS + 1).count()
-    often = F.broadcast(often) if n_often <= BROADCAST_ROWS else often
+    often, n_often = _few(often)
     cut = settle(cut, "cut") if n_often else cut
     usual = cut.join(often, "hash", "left_anti") if n_often else cut
     usual = usual.repartition("hash").sortWithinPartitions("hash")
     spans = usual.mapInArrow(lambda rows: _columnwise(rows, length, anchor), "row long, start long, stop long")
     if not n_often:
         return spans
-    # pieces with the same bytes are one: all strings of those that occur again are repeated
-    same = cut.join(often, "hash", "left_semi").select("row", "start", "piece", F.md5("piece").alias("content"))
-    contents = same.groupBy("content").agg(F.count(F.lit(1)).alias("n"), F.any_value("piece").alias("piece"))
-    strings = contents.mapInArrow(strings_of, "digest binary, content string, at long, n long")
-    many = strings.groupBy("digest").agg(F.sum("n").alias("total")).where("total > 1").select("digest")
-    # neighbouring places of a piece become one span; stored, so that the join can split a piece's many rows
-    run = F.col("at") - F.row_number().over(Window.partitionBy("content").orderBy("at"))
-    runs = strings.join(many, "digest").select("content", "at", run.alias("run")).groupBy("content", "run")
-    runs = settle(runs.agg(F.min("at").alias("first"), (F.max("at") + length).alias("last")), "hot-runs")
-    back = same.select("row", "start", "content").join(runs, "content")
-    hot_spans = back.select("row", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("last")).alias("stop"))
-    return spans.unionByName(hot_spans)
+    return spans.unionByName(_hot_spans(cut.join(often, "hash", "left_semi"), length, anchor, hot))
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
