@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.quality import Observed
 from tidemark.plans import intermediate as I
 from tidemark.plans import marts as M
+from tidemark.plans.monthly import MonthlyTable
 from tidemark.plans.staging import staging_models
 
 MONTHLY = {"int_transactions_unified": "transaction_date"}
@@ -18,7 +19,8 @@ MONTHLY = {"int_transactions_unified": "transaction_date"}
 def _settled(spark: SparkSession, name: str, df: DataFrame, folder: str | None, observed: Observed | None = None) -> DataFrame:
     """Write the model as a table and read it back, or hand on the plan as it is.
 
-    A model by month has the column ``month``: a filter on it opens the folders of those months only.
+    A model by month has the column ``month``: a filter on it opens the folders of those months only, and
+    with the same folder again only the months that changed are rewritten.
     """
     if folder is None:
         return df
@@ -27,8 +29,9 @@ def _settled(spark: SparkSession, name: str, df: DataFrame, folder: str | None,
     if date is None:
         watch(df).write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
-    # One folder per month, days in order within a file: readers of a period skip folders and row
-    # groups. The rebalance gathers a month's rows, and AQE still splits a month too big for a task.
+    if observed is None:
+        return MonthlyTable(spark, path, date).refresh(df)
+    # Row tests count the rows of a whole model as it is written, so all months are.
     monthly = df.withColumn("month", F.date_format(date, "yyyy-MM"))
     ordered = monthly.hint("rebalance", "month").sortWithinPartitions("month", date)
     watch(ordered).write.mode("overwrite").partitionBy("month").parquet(path)
