@@ -5,6 +5,7 @@ import os
 import pytest
 
 from conftest import rows
+from tidemark.catalog.queries import QUERIES
 from tidemark.plans import ingest
 from tidemark.plans.health import CLEAN, check_stream_health, load_history
 from tidemark.plans.ingest import NO_NEW_FILES, Lake, ValidationFailed, validate_and_load
@@ -280,3 +281,12 @@ def test_run_records(spark, lake, run_ts):
     ingest.record_run(lake, "one", "MANUAL", "SUCCESS", run_ts, run_ts)
     got = rows(ingest.record_run(lake, "two", "SCHEDULED", "FAILED", run_ts, run_ts + DAY), "pipeline_name")
     assert [(r["pipeline_name"], r["status"]) for r in got] == [("one", "SUCCESS"), ("two", "FAILED")]
+
+
+def test_pages_of_one_url_are_documents_of_their_own(spark, tmp_path):
+    pages = [("http://a/x?b=1&c", "<p>first</p>"), ("http://a/x?b=1&c", "<p>second</p>"), ("http://a/y", None)]
+    spark.createDataFrame(pages, "url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    got = rows(QUERIES["document_load"](spark, str(tmp_path)), "file_name", "preview")
+    assert [(r["file_name"], r["preview"]) for r in got] == [
+        ("http://a/x?b=1&c", "first"), ("http://a/x?b=1&c", "second"), ("http://a/y", "")
+    ]
