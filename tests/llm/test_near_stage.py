@@ -74,3 +74,46 @@ def test_stage_against_brute_force(spark):
     pairs = [(a, b) for a, b in close if not sets[a].isdisjoint(sets[b]) and alike(sets[a], sets[b]) >= 0.8]
     assert pairs and set(sets) - kept <= {i for pair in pairs for i in pair}
     assert sum(not {a, b} <= kept for a, b in pairs) >= 0.9 * len(pairs)
+
+
+def test_a_failed_link_of_a_forest_loses_no_other(spark):
+    """The first text is near to both others by bits wherever these meet, but alike to neither; they are alike."""
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**6)}"
+
+    def shared(one, other):
+        equal = (one ^ other).view(np.uint8).reshape(-1) == 0
+        return {n for n, (p, q) in enumerate(simhash_wide.PAIRS) if equal[p] and equal[q]}
+
+    rows, want = [], {}
+    while len(want) < 2:
+        first = [word() for _ in range(300)]
+        changed = rng.sample(range(0, 300, 5), 7)
+        second = [word() if at in changed else w for at, w in enumerate(first)]
+        third = [word() if at in changed[:6] else w for at, w in enumerate(second)]
+        texts = [" ".join(t) for t in (first, second, third)]
+        a, b, c = (simhash_wide.fingerprint(simhash_wide.shingle_hashes(t)) for t in texts)
+        meet = shared(b, c)
+        if not meet or not meet <= shared(a, b):
+            continue
+        if not all(simhash_wide.near_pairs(x[None], y[None])[0, 0] for x, y in ((a, b), (a, c), (b, c))):
+            continue
+        x, y, z = map(shingles, texts)
+        if max(alike(x, y), alike(x, z)) < 0.8 <= alike(y, z):
+            want[len(rows) + 2] = len(rows) + 1
+            rows += [(len(rows) + i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash_wide.near_duplicates(df).collect()} == want
+
+
+def test_open_pairs_are_all_near_pairs_of_different_parts(spark):
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 62, 4).astype(np.uint64)
+    entries = base ^ (np.uint64(1) << rng.integers(0, 62, (700, 4)).astype(np.uint64))
+    rows = [(e.tobytes(), i, i % 3 if i < 30 else 0) for i, e in enumerate(entries)]
+    df = spark.createDataFrame([(bytearray(f), r, p) for f, r, p in rows], "fp binary, rep long, part long")
+    i, j = np.nonzero(simhash_wide.near_pairs(entries, entries))
+    want = {(a, b) for a, b in zip(i.tolist(), j.tolist()) if a < b and rows[a][2] != rows[b][2]}
+    for size in (20_000, 100):
+        got = [tuple(sorted((r.a, r.b))) for r in simhash_wide.open_pairs(df, list_entries=size).collect()]
+        assert len(got) == len(set(got)) and set(got) == want

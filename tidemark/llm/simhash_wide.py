@@ -12,9 +12,14 @@ missed are pairs that share no indexed pair of bytes or differ in more than ``BI
 for the measured recall.
 
 Lists hold 1/65,536 of all fingerprints, and a list's pairs are compared in blocks, so that part of the
-work grows with the square of the input at a small rate. Only links of spanning forests leave the lists,
-so a list emits fewer links than entries and a group of many copies is not expanded. Equal fingerprints are one
-entry of the index; their rows are linked to the smallest id and verified like all links.
+work grows with the square of the input at a small rate. Only links of spanning forests leave the lists
+at first, so a list emits fewer links than entries and a group of many copies is not expanded. Rows of equal
+fingerprint and equal set of shingles are one entry; they are linked to the smallest id and verified like all links.
+
+A link of a forest that fails on the texts may have stood for others that would not. So groups by bits with a
+failed link are compared again: every pair of theirs within the bits whose ends the verified links have
+not joined so far is verified as well. A pair that is not verified then lies within one group already, so the
+groups are those of all pairs the lists show.
 
 Defined cases: a null text counts as empty; texts without words are one group; fewer words than a shingle
 give one shingle of them all; rows without an id and rows whose id is given to several rows are not
@@ -86,14 +91,19 @@ def fingerprint(hashes: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` of every row, ``fp`` in 32 bytes."""
+    """``doc_id, fp, shingles`` of every row: ``fp`` in 32 bytes, and a digest of the set of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
-            found = [fingerprint(shingle_hashes(t, shingle)).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "fp"])
+            prints, sets = [], []
+            for text in batch.column("text").to_pylist():
+                hashes = shingle_hashes(text, shingle)
+                prints.append(fingerprint(hashes).tobytes())
+                sets.append(xxhash.xxh3_128_digest(np.unique(hashes).tobytes()))
+            columns = [batch.column("doc_id"), pa.array(prints, pa.binary()), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "shingles"])
 
-    return docs.mapInArrow(run, "doc_id long, fp binary")
+    return docs.mapInArrow(run, "doc_id long, fp binary, shingles binary")
 
 
 def near_pairs(left: np.ndarray, right: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -168,7 +178,32 @@ def _links(rows: pa.Table, bits: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rep[places[:, 0]]), pa.array(rep[places[:, 1]])], ["a", "b"])
 
 
-def _list_links(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+def _open_pairs(rows: pa.Table, bits: int) -> pa.RecordBatch:
+    """Near pairs of whole lists whose ends are of different ``part``. Each leaves the first list that both are in."""
+    key, rep, part = (rows.column(c).to_numpy() for c in ("list", "rep", "part"))
+    number = rows.column("number").to_numpy()
+    entries = np.frombuffer(b"".join(rows.column("fp").to_pylist()), "<u8").reshape(-1, WORDS)
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    first, second = np.array(PAIRS).T
+    found = [np.zeros((0, 2), np.int64)]
+    for start, end in zip(starts.tolist(), np.append(starts[1:], len(key)).tolist()):
+        if end - start < 2 or (part[start:end] == part[start]).all():
+            continue
+        for a in range(start, end, BLOCK):
+            for b in range(a, end, BLOCK):
+                one, other = slice(a, min(a + BLOCK, end)), slice(b, min(b + BLOCK, end))
+                near = near_pairs(entries[one], entries[other], bits) & (part[one][:, None] != part[other][None, :])
+                i, j = np.nonzero(near)
+                i, j = i[i + a < j + b] + a, j[i + a < j + b] + b
+                equal = (entries[i] ^ entries[j]).view(np.uint8).reshape(-1, POSITIONS) == 0
+                shared = equal[:, first] & equal[:, second]
+                here = shared.argmax(axis=1) == number[start]
+                found.append(np.stack([rep[i[here]], rep[j[here]]], axis=1))
+    pairs = np.concatenate(found)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def _list_links(batches: Iterator[pa.RecordBatch], bits: int, links=_links) -> Iterator[pa.RecordBatch]:
     """Links from rows sorted by list; a list that goes on in the next batch waits for its end."""
     rest: list[pa.RecordBatch] = []
     for batch in batches:
@@ -182,19 +217,19 @@ def _list_links(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Rec
         whole = pa.Table.from_batches([*rest, batch.slice(0, last)])
         rest = [batch.slice(last)]
         if whole.num_rows:
-            yield _links(whole, bits)
+            yield links(whole, bits)
     if rest:
-        yield _links(pa.Table.from_batches(rest), bits)
+        yield links(pa.Table.from_batches(rest), bits)
 
 
-def links_of(entries: DataFrame, bits: int = BITS, list_entries: int = LIST_ENTRIES) -> DataFrame:
-    """``a, b``: links between the ``rep`` of entries that connect what the lists show to be near."""
+def _lists(entries: DataFrame, list_entries: int) -> DataFrame:
+    """``list, number`` and all columns of ``entries``: an entry in its lists, sorted; ``number`` is the place in ``PAIRS``."""
 
     def byte(position: int):
         return F.ascii(F.substring(F.hex("fp"), 2 * position + 1, 1)) * 256 + F.ascii(F.substring(F.hex("fp"), 2 * position + 2, 1))
 
     keys = [F.lit(n).cast("long") * (1 << 32) + byte(p) * (1 << 16) + byte(q) for n, (p, q) in enumerate(PAIRS)]
-    lists = entries.select(F.explode(F.array(*keys)).alias("key"), "fp", "rep")
+    lists = entries.select(F.posexplode(F.array(*keys)).alias("number", "key"), *entries.columns)
     large = lists.groupBy("key").count().where(F.col("count") > list_entries)
     large = settle(large.select("key", F.ceil(F.col("count") / list_entries).cast("int").alias("blocks")), "large-lists")
     if large.isEmpty():
@@ -208,11 +243,38 @@ def links_of(entries: DataFrame, bits: int = BITS, list_entries: int = LIST_ENTR
             F.when(F.col("blocks").isNull(), F.col("key"))
             .otherwise(F.xxhash64("key", F.least("block", "partner"), F.greatest("block", "partner")))
             .alias("list"),
-            "fp",
-            "rep",
+            "number",
+            *entries.columns,
         )
-    dealt = dealt.repartition("list").sortWithinPartitions("list", "rep")
-    return dealt.mapInArrow(lambda rows: _list_links(rows, bits), "a long, b long").distinct()
+    return dealt.repartition("list").sortWithinPartitions("list", "rep")
+
+
+def links_of(entries: DataFrame, bits: int = BITS, list_entries: int = LIST_ENTRIES) -> DataFrame:
+    """``a, b``: links between the ``rep`` of entries that connect what the lists show to be near."""
+    lists = _lists(entries.select("fp", "rep"), list_entries).drop("number")
+    return lists.mapInArrow(lambda rows: _list_links(rows, bits), "a long, b long").distinct()
+
+
+def open_pairs(entries: DataFrame, bits: int = BITS, list_entries: int = LIST_ENTRIES) -> DataFrame:
+    """``a, b``: all pairs of ``rep`` that the lists show to be near and whose ``part`` differs."""
+    lists = _lists(entries.select("fp", "rep", "part"), list_entries)
+    # In a large list that was cut, blocks meet several times.
+    return lists.mapInArrow(lambda rows: _list_links(rows, bits, _open_pairs), "a long, b long").distinct()
+
+
+def _missed(entries: DataFrame, links: DataFrame, good: DataFrame, bits: int) -> DataFrame:
+    """``a, b``: near pairs in groups by bits with a failed link, as far as the ``good`` links have not joined their ends."""
+
+    def named(rows: DataFrame, group: DataFrame, name: str) -> DataFrame:
+        to = group.select(F.col("node").alias("rep"), F.col("component").alias(name))
+        return rows.join(to, "rep", "left").withColumn(name, F.coalesce(name, "rep"))
+
+    wholes = components(links)
+    marked = named(named(entries.select("fp", "rep"), wholes, "whole"), components(good), "part")
+    marked = settle(marked, "wide-parts")
+    torn = marked.groupBy("whole").agg(F.min("part").alias("one"), F.max("part").alias("other")).where("one <> other")
+    again = settle(marked.join(torn.select("whole"), "whole", "left_semi"), "wide-torn")
+    return open_pairs(again, bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def similarity(one: np.ndarray, other: np.ndarray) -> float:
@@ -253,10 +315,17 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id, component_id`` of every row that is in a group and has not its smallest id, which names the group."""
     texts = texts_of(docs, id_col, text_col).where("doc_id is not null")
-    prints = fingerprints(texts, shingle).groupBy("doc_id").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("rows"))
-    prints = settle(prints.where("rows = 1").select("doc_id", "fp"), "wide-fingerprints")
-    entries = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "wide-classes")
-    equal = prints.join(entries, "fp").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    prints = fingerprints(texts, shingle).groupBy("doc_id").agg(
+        F.min("fp").alias("fp"), F.min("shingles").alias("shingles"), F.count(F.lit(1)).alias("rows")
+    )
+    prints = settle(prints.where("rows = 1").drop("rows"), "wide-fingerprints")
+    entries = settle(prints.groupBy("fp", "shingles").agg(F.min("doc_id").alias("rep")), "wide-classes")
+    equal = prints.join(entries, ["fp", "shingles"]).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     links = settle(links_of(entries, bits).unionByName(equal), "wide-links")
-    grouped = components(verified(links, texts, shingle, least))
+    good = settle(verified(links, texts, shingle, least), "wide-verified")
+    if good.count() < links.count():
+        tried = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        missed = settle(_missed(entries, links, good, bits).join(tried, ["a", "b"], "left_anti"), "wide-missed")
+        good = good.unionByName(verified(missed, texts, shingle, least))
+    grouped = components(good)
     return grouped.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
