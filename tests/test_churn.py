@@ -97,3 +97,12 @@ def test_an_undefined_auc_is_said_and_beaten():
     kept, note = promotion("v2", None, ("v1", 0.7))
     assert not kept and "new AUC undefined did not beat" in note
     assert promotion("v3", 0.4, ("v1", None)) == (True, "PROMOTED: new AUC 0.4000 beat current default's AUC undefined.")
+
+
+def test_training_rows_are_spread_over_all_cores(spark, tmp_path, monkeypatch, run_ts):
+    seen = []
+    real = churn.fit
+    monkeypatch.setattr(churn, "fit", lambda train, rounds: (seen.append(train.rdd.glom().map(len).collect()), real(train, rounds))[1])
+    churn.churn_train(mart(spark), churn.Registry(spark, str(tmp_path / "models")), run_ts, rounds=1)
+    sizes = seen[0]
+    assert len(sizes) >= spark.sparkContext.defaultParallelism and max(sizes) < sum(sizes) / 2

@@ -73,6 +73,11 @@ def _numbers(features: DataFrame) -> DataFrame:
     return features.withColumns({c: F.col(c).cast("double") for c in FEATURES})
 
 
+def spread(train: DataFrame) -> DataFrame:
+    """The rows dealt out over all cores: a file opens in few parts, and every round passes over them several times."""
+    return train.repartition(max(train.sparkSession.sparkContext.defaultParallelism, train.rdd.getNumPartitions()), "customer_id")
+
+
 def fit(train: DataFrame, rounds: int = ROUNDS) -> PipelineModel:
     trees = GBTClassifier(
         labelCol="churn_label", featuresCol="features", maxDepth=MAX_DEPTH, maxIter=rounds, seed=SEED, checkpointInterval=10
@@ -158,7 +163,7 @@ def churn_train(mart: DataFrame, registry: Registry, run_ts: dt.datetime, rounds
     folder = f"{registry.path}/features/{version}"
     _numbers(churn_split(churn_features(mart))).write.mode("overwrite").parquet(folder)
     data = spark.read.parquet(folder)
-    model = fit(data.where("is_train"), rounds)
+    model = fit(spread(data.where("is_train")), rounds)
     accuracy, auc = evaluate(model, data.where("NOT is_train"))
     model.write().overwrite().save(f"{registry.path}/models/{version}")
     promoted, note = promotion(version, auc, registry.default())
