@@ -161,3 +161,22 @@ def test_two_refreshes_at_once_both_count(spark, tmp_path):
     index._next = slow
     index.refresh(spark.createDataFrame([(3, "three", "", "")], SCHEMA), "ours", AT, complete=False)
     assert {r.doc_id for r in index.current().collect()} == {1, 2, 3}
+
+
+def test_words_are_counted_where_their_cell_is(spark, monkeypatch):
+    """Blocks of every cell, however the rows come; words are not shuffled one by one."""
+    monkeypatch.setattr(blockmax, "BATCH_WORDS", 50)
+    rng = random.Random(8)
+    texts = {n: [rng.choice("abcdeé") * rng.randint(1, 2) for _ in range(rng.choice([0, 1, 7, 40]))] for n in [*range(0, 400, 3), *range(1000, 1070)]}
+    bags = spark.createDataFrame(rng.sample(list(texts.items()), len(texts)), "ord long, words array<string>").repartition(5)
+    blocks = blockmax.word_blocks(bags)
+    assert "Generate" not in blocks._jdf.queryExecution().executedPlan().toString()
+    want = {}
+    for number, words in sorted(texts.items()):
+        for word in set(words):
+            want.setdefault((word, number >> 6), []).append((number, words.count(word), len(words)))
+    got = {(b.term, b.cell): b for b in blocks.collect()}
+    assert {key: [tuple(p) for p in b.postings] for key, b in got.items()} == want and blocks.count() == len(want)
+    for key, found in want.items():
+        assert (got[key].n, got[key].max_tf, got[key].min_len) == (len(found), max(f[1] for f in found), min(f[2] for f in found))
+    assert blockmax.word_blocks(bags.limit(0)).count() == 0

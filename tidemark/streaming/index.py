@@ -159,14 +159,15 @@ class TextIndex:
             changed = given.join(F.broadcast(ids) if fits_broadcast(ids) else ids, "doc_id", "left_semi")
         # Neighbours of like length have like scores, so the bounds of a cell are tight.
         bags = changed.select("doc_id", words(F.col("text")).alias("words"), "attributes", "content_hash")
-        bags = bags.sortWithinPartitions(F.size("words")).withColumn("ord", F.monotonically_increasing_id())
+        bags = bags.withColumn("doc_len", F.size("words"))
+        bags = bags.sortWithinPartitions("doc_len").withColumn("ord", F.monotonically_increasing_id())
         staged = f"{self.path}/staged/{name}"
         bags.write.parquet(staged)  # numbers are given once; taken away again below
         bags = self.spark.read.schema(bags.schema).parquet(staged)
-        counted = bags.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("words")).first()
+        counted = bags.agg(F.count("*").alias("n"), F.coalesce(F.sum("doc_len"), F.lit(0)).alias("words")).first()
         if counted.n:
             docs = bags.select(
-                "ord", "doc_id", F.size("words").alias("doc_len"), "content_hash", F.lit(refresh).alias("refresh"),
+                "ord", "doc_id", "doc_len", "content_hash", F.lit(refresh).alias("refresh"),
                 ntz(at).alias("indexed_at"), "attributes",
             )
             self._write_segment(name, docs, X.word_blocks(bags))
