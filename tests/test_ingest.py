@@ -290,3 +290,30 @@ def test_pages_of_one_url_are_documents_of_their_own(spark, tmp_path):
     assert [(r["file_name"], r["preview"]) for r in got] == [
         ("http://a/x?b=1&c", "first"), ("http://a/x?b=1&c", "second"), ("http://a/y", "")
     ]
+
+
+def test_rows_are_written_once(spark, stage, lake, run_ts, monkeypatch):
+    """Landed rows are the raw rows: the ledger promotes them, and no file holds them a second time."""
+    monkeypatch.setattr(ingest, "FILES_PER_READ", 1)
+    for i in range(3):
+        put_csv(stage, f"{i}.csv", [settlement(i)])
+    load(spark, ingest.SETTLEMENTS, stage, lake, run_ts)
+    root = lake.root.removeprefix("file://")
+    found = [os.path.join(folder, name) for folder, _, names in os.walk(root) for name in names if name.endswith(".parquet")]
+    whole = [f for f in found if "settlement_status" in spark.read.parquet(f).columns]
+    assert sum(spark.read.parquet(f).count() for f in whole) == 3
+    raw = lake.raw("settlements")
+    assert raw.columns == [*[n for n, _ in ingest.files.SETTLEMENT_CSV], "_source_file", "_loaded_at", "batch_id"]
+    assert sorted(r.settlement_id for r in raw.collect()) == ["s0", "s1", "s2"]
+
+
+def test_a_load_at_the_same_time_keeps_the_rows_of_the_first(spark, stage, lake, run_ts):
+    put_csv(stage, "a.csv", [settlement(1)])
+    load(spark, ingest.SETTLEMENTS, stage, lake, run_ts)
+    put_csv(stage, "b.csv", [settlement(2)])
+    load(spark, ingest.SETTLEMENTS, stage, lake, run_ts)
+    assert sorted(r.settlement_id for r in lake.raw("settlements").collect()) == ["s1", "s2"]
+    put_csv(stage, "c.csv", [settlement(3), settlement(3)])
+    with pytest.raises(ValidationFailed, match="duplicate"):
+        load(spark, ingest.SETTLEMENTS, stage, lake, run_ts)
+    assert lake.raw("settlements").count() == 2

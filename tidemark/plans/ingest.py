@@ -144,9 +144,10 @@ class Lake:
     def raw(self, source: str) -> DataFrame:
         """Rows of the batches whose load has finished: those the ledger knows.
 
-        The batch names, one per run, become a filter on the folders.
+        Rows are landed once, in the folder of their batch; the ledger is what promotes them. The batch names,
+        one per run, become a filter on the folders.
         """
-        rows = read_batches(self.spark, self.path("raw", source), SPECS[source].landing_schema)
+        rows = read_batches(self.spark, self.path("landing", source), SPECS[source].landing_schema)
         return rows.where(F.col("batch_id").isin(committed_batches(self.spark, self.path("ledger", source))))
 
     def baseline_table(self) -> LatestTable:
@@ -202,14 +203,16 @@ def _in_groups(paths: Iterator[str], size: int) -> Iterator[list[str]]:
 def _land(spark: SparkSession, spec: SourceSpec, fresh: DataFrame, target: str, run_ts: dt.datetime) -> None:
     """Strict copy of the new files, some thousand names at a time, into one batch folder.
 
-    The driver holds the names of one group only; each group overwrites its own sub-folder.
+    The driver holds the names of one group only; each group overwrites its own sub-folder, and what an earlier
+    attempt left is removed first.
     """
+    remove(spark, target)
     names = (row.file_path for row in fresh.select("file_path").toLocalIterator())
     for i, group in enumerate(_in_groups(names, FILES_PER_READ)):
         rows = (
             files.read_csv_strict(spark, group) if spec.is_csv else files.read_ndjson_strict(spark, group, spec.glob)
         )
-        rows.withColumn("_loaded_at", files.ntz(run_ts)).write.mode("overwrite").parquet(f"{target}/part={i}")
+        rows.withColumn("_loaded_at", files.ntz(run_ts)).write.mode("overwrite").parquet(f"{target}/group-{i}")
 
 
 def _audit_row(spark: SparkSession, counters: DataFrame, source: str, run_ts: dt.datetime) -> DataFrame:
@@ -268,6 +271,9 @@ def validate_and_load(
     fresh = new_files(spark, stage, spec.glob, lake.ledger(spec.name))
     if fresh.isEmpty():
         return LoadResult(NO_NEW_FILES)
+    finished = committed_batches(spark, lake.path("ledger", spec.name))
+    if batch_id in finished:  # a second load at the same time must not replace the rows of the first
+        batch_id = f"{batch_id}-{len(finished)}"
     staged_list = lake.path("arrivals", spec.name, f"batch_id={batch_id}")
     fresh.select("file_path", "size", "last_modified").write.mode("overwrite").parquet(staged_list)
     fresh = spark.read.schema(LEDGER_SCHEMA).parquet(staged_list)
@@ -295,7 +301,6 @@ def validate_and_load(
 
     # 4. promote, and name the files as loaded at last; audit row, raw rows and keys count with the ledger
     lake.append("audit", _audit_row(spark, known, spec.name, run_ts), f"{batch_id}-{spec.name}")
-    lake.append(f"raw/{spec.name}", landed, batch_id)
     lake.append(f"load_audit/{spec.name}", _load_audit(spec, landed, batch_id, run_ts), batch_id)
     lake.remember_keys(spec.name, actual, run_ts, batch_id)
     lake.append(f"ledger/{spec.name}", fresh, batch_id)
