@@ -117,3 +117,35 @@ def test_open_pairs_are_all_near_pairs_of_different_parts(spark):
     for size in (20_000, 100):
         got = [tuple(sorted((r.a, r.b))) for r in simhash_wide.open_pairs(df, list_entries=size).collect()]
         assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_a_torn_group_is_joined_without_its_pairs(spark):
+    """A large group of which no pair or only some are alike: the same groups as by all open pairs, fewer links than texts."""
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    rows = []
+    for n in range(120):
+        copy = list(words)
+        for at in rng.sample(range(0, 400, 5), 7 if n % 3 else 4):
+            copy[at] = f"w{rng.randrange(10**6)}"
+        rows.append((n, " ".join(copy)))
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = {n: simhash_wide.fingerprint(simhash_wide.shingle_hashes(t)).tobytes() for n, t in rows}
+    torn = spark.createDataFrame([(bytearray(f), n, 0, n) for n, f in prints.items()], "fp binary, rep long, whole long, part long")
+    sets = {n: shingles(t) for n, t in rows}
+    entries = np.frombuffer(b"".join(prints.values()), "<u8").reshape(-1, 4)
+    near = simhash_wide.near_pairs(entries, entries)
+    group = list(range(len(rows)))
+    for a, b in combinations(range(len(rows)), 2):
+        if near[a, b] and alike(sets[a], sets[b]) >= 0.8:
+            group = [group[a] if g == group[b] else g for g in group]
+    pairs = sum(group[a] != group[b] and near[a, b] for a, b in combinations(range(len(rows)), 2))
+    assert pairs > 10 * len(rows) and 1 < len(set(group)) < len(rows)
+    for size in (512, 30):
+        links = [(r.a, r.b) for r in simhash_wide.alike_in_groups(torn, texts, group_entries=size).collect()]
+        got = list(range(len(rows)))
+        for a, b in links:
+            got = [got[a] if g == got[b] else g for g in got]
+        assert {frozenset(i for i, g in enumerate(got) if g == x) for x in got} == {frozenset(i for i, g in enumerate(group) if g == x) for x in group}
+        assert size == 30 or len(links) < len(rows)
+        assert len(links) < pairs / 10

@@ -16,10 +16,11 @@ work grows with the square of the input at a small rate. Only links of spanning
 at first, so a list emits fewer links than entries and a group of many copies is not expanded. Rows of equal
 fingerprint and equal set of shingles are one entry; they are linked to the smallest id and verified like all links.
 
-A link of a forest that fails on the texts may have stood for others that would not. So groups by bits with a
-failed link are compared again: every pair of theirs within the bits whose ends the verified links have
-not joined so far is verified as well. A pair that is not verified then lies within one group already, so the
-groups are those of all pairs the lists show.
+A link of a forest that fails on the texts may have stood for others that would not. So groups by bits that the
+verified links do not hold together are compared again: every pair of theirs within the bits whose ends are
+not joined so far is verified as well, in the task where the group (or two blocks of a large one) meets with the sets
+of its texts, and only links that join parts leave it. A pair that is not verified then lies within one group already,
+so the groups are at least those of all pairs the lists show (``open_pairs``, which expands them, is for comparison).
 
 Defined cases: a null text counts as empty; texts without words are one group; fewer words than a shingle
 give one shingle of them all; rows without an id and rows whose id is given to several rows are not
@@ -49,6 +50,8 @@ BITS = 51
 LIST_ENTRIES = 20_000
 BATCH_BYTES = 8 << 20
 BLOCK = 512
+GROUP_ENTRIES = 512
+GROUP_BYTES = 8 << 20
 
 #: Pairs of byte positions under which a fingerprint is filed: each position with two others.
 PAIRS = [(p, (p + step) % POSITIONS) for step in (1, 7) for p in range(POSITIONS)]
@@ -262,8 +265,8 @@ def open_pairs(entries: DataFrame, bits: int = BITS, list_entries: int = LIST_EN
     return lists.mapInArrow(lambda rows: _list_links(rows, bits, _open_pairs), "a long, b long").distinct()
 
 
-def _missed(entries: DataFrame, links: DataFrame, good: DataFrame, bits: int) -> DataFrame:
-    """``a, b``: near pairs in groups by bits with a failed link, as far as the ``good`` links have not joined their ends."""
+def _torn_groups(entries: DataFrame, links: DataFrame, good: DataFrame) -> DataFrame:
+    """``entries`` of groups by bits that the ``good`` links do not hold together, with their ``whole`` group and ``part`` of it."""
 
     def named(rows: DataFrame, group: DataFrame, name: str) -> DataFrame:
         to = group.select(F.col("node").alias("rep"), F.col("component").alias(name))
@@ -273,8 +276,86 @@ def _missed(entries: DataFrame, links: DataFrame, good: DataFrame, bits: int) ->
     marked = named(named(entries.select("fp", "rep"), wholes, "whole"), components(good), "part")
     marked = settle(marked, "wide-parts")
     torn = marked.groupBy("whole").agg(F.min("part").alias("one"), F.max("part").alias("other")).where("one <> other")
-    again = settle(marked.join(torn.select("whole"), "whole", "left_semi"), "wide-torn")
-    return open_pairs(again, bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return marked.join(torn.select("whole"), "whole", "left_semi")
+
+
+def alike_links(
+    entries: np.ndarray, sets: list[np.ndarray], part: np.ndarray, block: np.ndarray, own: np.ndarray, bits: int, least: float
+) -> list[tuple[int, int]]:
+    """Links (as places) that join the parts of one list: pairs within ``bits`` whose sets have the asked similarity.
+
+    A pair whose ends are joined by then is left out, so there are fewer links than entries. Rows of one ``block`` are
+    compared where the list is their ``own``.
+    """
+    links: list[tuple[int, int]] = []
+    tokens, place = np.unique(np.concatenate(sets), return_inverse=True)
+    words = np.split(place, np.cumsum([len(s) for s in sets])[:-1])
+    sizes, part, held = np.array([len(s) for s in sets]), part.copy(), np.zeros(len(tokens), bool)
+    for i in range(len(sets) - 1):
+        rest = slice(i + 1, None)
+        asked = (part[rest] != part[i]) & (own[i] | (block[rest] != block[i]))
+        asked &= np.minimum(sizes[rest], sizes[i]) >= least * np.maximum(sizes[rest], sizes[i]) - 1
+        others = i + 1 + np.flatnonzero(asked)
+        others = others[near_pairs(entries[i : i + 1], entries[others], bits)[0]]
+        held[words[i]] = True
+        for j in others.tolist():
+            if part[j] != part[i]:
+                shared = int(held[words[j]].sum())
+                if shared >= least * (sizes[i] + sizes[j] - shared) and similarity(sets[i], sets[j]) >= least:
+                    links.append((i, j))
+                    part[part == part[j]] = part[i]
+        held[words[i]] = False
+    return links
+
+
+def _alike_lists(rows: pa.Table, bits: int, least: float) -> pa.RecordBatch:
+    """Links of whole lists, each a group or a pair of blocks of one."""
+    key, rep, part, block = (rows.column(c).to_numpy() for c in ("list", "rep", "part", "block"))
+    own = rows.column("own").to_numpy()
+    entries = np.frombuffer(b"".join(rows.column("fp").to_pylist()), "<u8").reshape(-1, WORDS)
+    sets = [np.frombuffer(s, "<u8") for s in rows.column("hashes").to_pylist()]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    pairs: list[tuple[int, int]] = []
+    for start, end in zip(starts.tolist(), np.append(starts[1:], len(key)).tolist()):
+        at = slice(start, end)
+        found = alike_links(entries[at], sets[at], part[at], block[at], own[at], bits, least)
+        pairs += [(start + a, start + b) for a, b in found]
+    places = np.array(pairs, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(rep[places[:, 0]]), pa.array(rep[places[:, 1]])], ["a", "b"])
+
+
+def alike_in_groups(
+    torn: DataFrame,
+    texts: DataFrame,
+    shingle: int = SHINGLE,
+    least: float = SIMILARITY,
+    bits: int = BITS,
+    group_entries: int = GROUP_ENTRIES,
+) -> DataFrame:
+    """``a, b``: links that connect all alike texts within the bits of each ``whole`` group, beyond what its parts connect.
+
+    A group meets in one task with the sets of its texts; a large one is cut into blocks that meet in pairs. Only links
+    leave a task, never its pairs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", BATCH_BYTES):
+            sets = [np.unique(shingle_hashes(text, shingle)).astype("<u8").tobytes() for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["rep", "hashes"])
+
+    wanted = keep_ids(texts, torn.select(F.col("rep").alias("doc_id")))
+    rows = settle(torn.join(wanted.mapInArrow(run, "rep long, hashes binary"), "rep"), "wide-torn")
+    weight = F.greatest(F.count(F.lit(1)) / group_entries, F.sum(F.length("hashes")) / GROUP_BYTES)
+    large = rows.groupBy("whole").agg(F.ceil(weight).cast("int").alias("blocks")).where("blocks > 1")
+    marked = rows.join(settle(large, "wide-large"), "whole", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    marked = marked.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    dealt = marked.withColumn("partner", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        F.xxhash64("whole", F.least("block", "partner"), F.greatest("block", "partner")).alias("list"),
+        "rep", "fp", "part", "hashes", "block", F.expr("block = partner").alias("own"),
+    )
+    lists = dealt.repartition("list").sortWithinPartitions("list", "rep")
+    whole_lists = lambda rows: _list_links(rows, bits, lambda t, b: _alike_lists(t, b, least))
+    return lists.mapInArrow(whole_lists, "a long, b long").distinct()
 
 
 def similarity(one: np.ndarray, other: np.ndarray) -> float:
@@ -324,8 +405,7 @@ def near_duplicates(
     links = settle(links_of(entries, bits).unionByName(equal), "wide-links")
     good = settle(verified(links, texts, shingle, least), "wide-verified")
     if good.count() < links.count():
-        tried = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        missed = settle(_missed(entries, links, good, bits).join(tried, ["a", "b"], "left_anti"), "wide-missed")
-        good = good.unionByName(verified(missed, texts, shingle, least))
+        torn = settle(_torn_groups(entries, links, good), "wide-parts-torn")
+        good = good.unionByName(alike_in_groups(torn, texts, shingle, least, bits))
     grouped = components(good)
     return grouped.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
