@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,6 +75,25 @@ def test_routing_is_complete_and_disjoint(spark, tmp_path, run_ts):
     assert clean.unionByName(held).exceptAll(S.landed(spark, out)).isEmpty()
 
 
+def test_micro_batches_are_read_in_splits_not_from_the_cache(spark, tmp_path, run_ts, monkeypatch):
+    """A cached batch is as large per task as the batch makes it; files are read in splits, and go when they are done."""
+    src, out, routed = tmp_path / "in", f"file://{tmp_path}/out", f"file://{tmp_path}/routed"
+    lines(src, "a.json", [event(i, account_id="absent" if i % 5 == 0 else "a") for i in range(200)] + ["{broken\n"])
+    parts, read = [], S.write_batch_once
+
+    def write(df, path, batch_id):
+        parts.append((path.rsplit("/", 1)[1], "InMemoryRelation" in df._jdf.queryExecution().toString()))
+        read(df, path, batch_id)
+
+    monkeypatch.setattr(S, "write_batch_once", write)
+    S.land_stream(S.read_line_stream(spark, str(src)), out, f"{out}/checkpoint", run_ts)
+    S.route_stream(S.raw_stream(spark, out), routed, f"{routed}/checkpoint")
+    assert parts == [(n, False) for n in ("raw", "rejects", "history", "clean", "quarantine")]
+    assert [S.landed(spark, o, n).count() for o, n in ((out, "rejects"), (routed, "clean"), (routed, "quarantine"))] == [1, 160, 40]
+    scratch = spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/tidemark"
+    assert not [n for n in os.listdir(scratch) if n.startswith(("landing-", "routing-"))]
+
+
 def test_explicit_null_key(spark):
     df = spark.createDataFrame([(json.dumps(event(1, event_id=None)),), (json.dumps(event(2, event_id="absent")),)], "raw_payload string")
     assert routing.clean_split(df).count() == 0
