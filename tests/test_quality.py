@@ -80,6 +80,45 @@ def test_tests_observed_while_writing_equal_those_run_after(spark, run_ts, tmp_p
     assert results[0] == results[1] and ("m", "not_null", "s", 20) in results[0] and ("m", "rowcount_parity", "", 1) in results[0]
 
 
+def test_models_that_do_not_need_each_other_are_written_at_once(spark, tmp_path, monkeypatch):
+    """And with tests taken while writing, no month is dealt out if not asked for, and payloads are parsed once."""
+    import threading
+
+    from tidemark.plans import graph
+    from tidemark.plans.suite import SUITE
+    from tidemark.sources import tables as R
+
+    raw = R.raw_tables(spark, "/root/testdata/sf0.001")
+    both, settled = threading.Barrier(2, timeout=60), graph._settled
+
+    def meet(spark, name, df, *how):
+        if name in ("int_accounts_enriched", "int_transactions_unified"):
+            both.wait()
+        return settled(spark, name, df, *how)
+
+    monkeypatch.setattr(graph, "_settled", meet)
+    observed = Q.Observed(SUITE)
+    folder = f"file://{tmp_path}/m"
+    built = graph.build_models(spark, raw, R.AS_OF, folder, observed, by_month=False)
+    plain = graph.build_models(spark, raw, R.AS_OF)
+    assert set(built) == set(plain) and all(df.inputFiles()[0].startswith("file:///") for df in built.values())
+    for name in ("stg_accounts_current", "int_transactions_unified", "mart_customer_360"):
+        assert built[name].columns == plain[name].columns
+        assert built[name].exceptAll(plain[name]).isEmpty() and plain[name].exceptAll(built[name]).isEmpty()
+
+
+def test_prints_of_months_are_whole_sums(spark):
+    from tidemark.plans import monthly as M
+
+    df = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.when(F.col("id") % 7 > 0, F.lit("2024-01")).alias("month"))
+    hashed = df.select("month", F.xxhash64("k").alias("a"), F.xxhash64(F.lit(1), "k").alias("b")).collect()
+    want = {}
+    for r in hashed:
+        n, a, b = want.get(r.month or M._NO_MONTH, (0, 0, 0))
+        want[r.month or M._NO_MONTH] = (n + 1, a + r.a, b + r.b)
+    assert M._prints(df) == {m: [str(x) for x in found] for m, found in want.items()}
+
+
 def test_a_month_opens_its_folders_only(spark, tmp_path):
     from tidemark.plans.graph import _settled
 

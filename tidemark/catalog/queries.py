@@ -513,7 +513,7 @@ def test_rowcount_parity(m: Models) -> DataFrame:
 def dq_results(m: Models) -> DataFrame:
     """Every column test of every model, over models written once; row tests are counted while writing."""
     observed = quality.Observed(SUITE)
-    built = build_models(m.spark, R.raw_tables(m.spark, m.sf_dir), AS_OF, new_folder(m.spark, "models"), observed)
+    built = build_models(m.spark, R.raw_tables(m.spark, m.sf_dir), AS_OF, new_folder(m.spark, "models"), observed, by_month=False)
     counted = quality.run_tests(built, SUITE, PARITY, observed)
     path = new_folder(m.spark, "dq")
     write_batch(quality.as_results(counted, "run1", RUN_TS), path, "run1")

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,12 +14,14 @@ from tidemark.operators.quality import Observed
 from tidemark.plans import intermediate as I
 from tidemark.plans import marts as M
 from tidemark.plans.monthly import MonthlyTable
-from tidemark.plans.staging import staging_models
+from tidemark.plans.staging import accounts_current, staging_models
 
 MONTHLY = {"int_transactions_unified": "transaction_date"}
 
 
-def _settled(spark: SparkSession, name: str, df: DataFrame, folder: str | None, observed: Observed | None = None) -> DataFrame:
+def _settled(
+    spark: SparkSession, name: str, df: DataFrame, folder: str | None, observed: Observed | None = None, by_month: bool = True
+) -> DataFrame:
     """Write the model as a table and read it back, or hand on the plan as it is.
 
     A model by month has the column ``month``: a filter on it opens the folders of those months only, and
@@ -24,7 +29,7 @@ def _settled(spark: SparkSession, name: str, df: DataFrame, folder: str | None,
     """
     if folder is None:
         return df
-    path, date = f"{folder}/{name}", MONTHLY.get(name)
+    path, date = f"{folder}/{name}", MONTHLY.get(name) if by_month else None
     watch = (lambda rows: rows) if observed is None else (lambda rows: observed.watch(name, rows))
     if date is None:
         watch(df).write.mode("overwrite").parquet(path)
@@ -38,46 +43,60 @@ def _settled(spark: SparkSession, name: str, df: DataFrame, folder: str | None,
     return spark.read.schema(monthly.schema).parquet(path)
 
 
+def _together(models: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Models that do not need each other, written at once: small ones fill the cores that large ones leave idle."""
+    with ThreadPoolExecutor(len(models)) as pool:
+        return dict(zip(models, pool.map(lambda build: build(), map(inheritable_thread_target, models.values()))))
+
+
 def build_models(
     spark: SparkSession,
     raw: dict[str, DataFrame],
     as_of: dt.date,
     folder: str | None = None,
     observed: Observed | None = None,
+    by_month: bool = True,
 ) -> dict[str, DataFrame]:
     """All staging, intermediate and mart models.
 
     Staging stays lazy. With a folder, each intermediate model and mart is written once there and
     its readers start from the written table instead of repeating the work below it. With ``observed`` staging
     models are written too, and the row tests of all models are counted by the tasks that write them.
+    Without ``by_month`` no table is dealt out by month, for models that are written only to be tested.
     """
     m = dict(staging_models(raw))
-    if folder is not None and observed is not None:
-        m = {name: _settled(spark, name, df, folder, observed) for name, df in m.items()}
 
-    def add(name: str, df: DataFrame) -> None:
-        m[name] = _settled(spark, name, df, folder, observed)
+    def add(**models: Callable[[], DataFrame]) -> None:
+        def settled(name: str, df: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+            return lambda: _settled(spark, name, df(), folder, observed, by_month)
 
-    add("int_accounts_enriched", I.int_accounts_enriched(m["stg_accounts"], m["stg_accounts_current"]))
+        m.update(_together({name: settled(name, df) for name, df in models.items()}))
+
+    def enriched() -> DataFrame:
+        if folder is not None and observed is not None:
+            # The written events are read; the payloads are not parsed again.
+            add(stg_accounts_current=lambda: accounts_current(m["stg_account_activity"]))
+        return I.int_accounts_enriched(m["stg_accounts"], m["stg_accounts_current"])
+
+    if folder is not None and observed is not None:
+        add(**{name: lambda df=df: df for name, df in m.items() if name != "stg_accounts_current"})
     add(
-        "int_transactions_unified",
-        I.int_transactions_unified(m["stg_settlements"], m["stg_partner_transactions"]),
+        int_accounts_enriched=enriched,
+        int_transactions_unified=lambda: I.int_transactions_unified(m["stg_settlements"], m["stg_partner_transactions"]),
     )
     add(
-        "int_customer_activity_summary",
-        I.int_customer_activity_summary(
+        int_customer_activity_summary=lambda: I.int_customer_activity_summary(
             m["stg_customers"],
             m["int_accounts_enriched"],
             m["int_transactions_unified"],
             m["stg_support_cases"],
             as_of,
         ),
+        int_merchant_risk_summary=lambda: I.int_merchant_risk_summary(m["stg_merchants"], m["int_transactions_unified"], as_of),
+        mart_daily_transaction_kpi=lambda: M.mart_daily_transaction_kpi(m["int_transactions_unified"]),
     )
     add(
-        "int_merchant_risk_summary",
-        I.int_merchant_risk_summary(m["stg_merchants"], m["int_transactions_unified"], as_of),
+        mart_customer_360=lambda: M.mart_customer_360(m["int_customer_activity_summary"]),
+        mart_merchant_performance=lambda: M.mart_merchant_performance(m["int_merchant_risk_summary"]),
     )
-    add("mart_customer_360", M.mart_customer_360(m["int_customer_activity_summary"]))
-    add("mart_merchant_performance", M.mart_merchant_performance(m["int_merchant_risk_summary"]))
-    add("mart_daily_transaction_kpi", M.mart_daily_transaction_kpi(m["int_transactions_unified"]))
     return m

@@ -157,7 +157,12 @@ def stg_exchange_rates(raw: DataFrame) -> DataFrame:
 
 def stg_accounts_current(raw_activity: DataFrame, nulls: str = "last") -> DataFrame:
     """The newest known state of each account, from the event log."""
-    events = stg_account_activity(raw_activity).select(
+    return accounts_current(stg_account_activity(raw_activity), nulls)
+
+
+def accounts_current(activity: DataFrame, nulls: str = "last") -> DataFrame:
+    """The same from the typed events."""
+    events = activity.select(
         "account_id",
         "customer_id",
         "account_status",
