@@ -317,3 +317,23 @@ def test_a_load_at_the_same_time_keeps_the_rows_of_the_first(spark, stage, lake,
     with pytest.raises(ValidationFailed, match="duplicate"):
         load(spark, ingest.SETTLEMENTS, stage, lake, run_ts)
     assert lake.raw("settlements").count() == 2
+
+
+def test_compressed_files_are_loaded_like_plain_ones(spark, tmp_path, run_ts):
+    import gzip
+
+    stage = tmp_path
+    put_csv(stage, "a.csv", [settlement(1), settlement(2)])
+    (stage / "b.csv.gz").write_bytes(gzip.compress((stage / "a.csv").read_bytes().replace(b"s1", b"s3").replace(b"s2", b"s4")))
+    (stage / "c.txt").write_text("no settlements")
+    assert files.read_csv_strict(spark, str(stage)).count() == 4
+    headers = rows(files.csv_headers(spark, str(stage)), "_source_file")
+    assert len(headers) == 2 and headers[0]["value"] == headers[1]["value"]
+
+
+def test_staged_settlements_are_compressed(spark):
+    from tidemark.catalog import queries
+
+    stage = queries._stage_csv(queries.Models(spark, "/root/testdata/sf0.001"))
+    assert files.read_csv_strict(spark, stage).count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert all(r["relative_path"].endswith(".csv.gz") for r in rows(files.list_files(spark, stage, "part-*")))

@@ -66,10 +66,14 @@ def query(fn: Callable[[Models], DataFrame]) -> Callable[[Models], DataFrame]:
 # ------------------------------------------------------------ sources and scans
 
 
+STAGED_ROWS = 1_000_000  # of a file, so that no compressed file is long
+
+
 def _stage_csv(m: Models) -> str:
     stage = new_folder(m.spark, "stage-settlements")
-    columns = [n for n, _ in files.SETTLEMENT_CSV]
-    m.raw("settlements").select(*columns).write.option("header", True).csv(stage)
+    rows = m.raw("settlements").select(*[n for n, _ in files.SETTLEMENT_CSV])
+    writer = rows.write.option("header", True).option("maxRecordsPerFile", STAGED_ROWS)
+    writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").csv(stage)
     return stage
 
 

@@ -59,7 +59,7 @@ class SourceSpec:
 
     @property
     def glob(self) -> str:
-        return "*.csv" if self.is_csv else "*"
+        return files.CSV_FILES if self.is_csv else "*"
 
     def keys(self, landed: DataFrame) -> DataFrame:
         """The required fields of each row, parsed once."""

@@ -15,6 +15,7 @@ from tidemark.functions.columns import cast_lenient, cast_strict
 from tidemark.operators.routing import readable_json
 
 CORRUPT = "_corrupt"
+CSV_FILES = "*.{csv,csv.gz}"  # plain or compressed; a compressed file is read by one task
 
 # The settlement file's columns in order.
 SETTLEMENT_CSV: list[tuple[str, str]] = [
@@ -54,7 +55,7 @@ def _csv_text(spark: SparkSession, paths: str | Sequence[str], columns, mode: st
         .option("enforceSchema", True)
         .option("quote", '"')
         .option("mode", mode)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", CSV_FILES)
         .option("recursiveFileLookup", True)
     )
     if mode == "PERMISSIVE":
@@ -93,7 +94,7 @@ def csv_headers(spark: SparkSession, folder: str | Sequence[str]) -> DataFrame:
     The line at offset 0 opens a file. Only the tasks that read a file's first block emit a row.
     """
     lines = (
-        spark.read.option("pathGlobFilter", "*.csv")
+        spark.read.option("pathGlobFilter", CSV_FILES)
         .option("recursiveFileLookup", True)
         .text(folder)
         .select(
