@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import simhash_wide
+from tidemark.llm import components, simhash_wide
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -149,3 +149,31 @@ def test_a_torn_group_is_joined_without_its_pairs(spark):
         assert {frozenset(i for i, g in enumerate(got) if g == x) for x in got} == {frozenset(i for i, g in enumerate(group) if g == x) for x in group}
         assert size == 30 or len(links) < len(rows)
         assert len(links) < pairs / 10
+
+
+def test_links_within_a_part_are_gone_through_once(spark, monkeypatch):
+    """Groups by bits and the links found last are joined from parts; the groups are those of all links together."""
+    rng = random.Random(7)
+    links = [sorted(rng.sample(range(300), 2)) for _ in range(260)]
+    first, then = links[:150], links[150:]
+    frame = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+    want = {tuple(r) for r in components.components(frame(links)).collect()}
+    parts = components.components(frame(first))
+    assert {tuple(r) for r in components.joined(parts, frame(then)).collect()} == want
+    assert components.between(frame(first), parts).count() == 0
+    assert {tuple(r) for r in components.joined(parts, frame([])).collect()} == {tuple(r) for r in parts.collect()}
+    assert {tuple(r) for r in components.joined(components.components(frame([])), frame(links)).collect()} == want
+
+    words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    rows = []
+    for n in range(60):
+        copy = list(words)
+        for at in rng.sample(range(0, 300, 5), 1 if n < 50 else 5):
+            copy[at] = f"w{rng.randrange(10**6)}"
+        rows.append((n, " ".join(copy)))
+    seen, counted = [], components.components
+    for module in (components, simhash_wide):
+        monkeypatch.setattr(module, "components", lambda links: seen.append(links.count()) or counted(links))
+    simhash_wide.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    # Verified links, those between parts of a group by bits, and those found in groups.
+    assert len(seen) == 3 and sum(seen[1:]) < seen[0] / 5

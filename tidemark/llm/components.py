@@ -50,3 +50,21 @@ def components(links: DataFrame) -> DataFrame:
             return now.select("node", F.col("other").alias("component"))
         seen = mark
         now = settle(_small_star(_large_star(now).distinct()).distinct(), "links")
+
+
+def between(links: DataFrame, parts: DataFrame) -> DataFrame:
+    """``a, b``: the links as links of whole parts (``node, component``); those within a part are left out."""
+    one = parts.select(F.col("node").alias("a"), F.col("component").alias("part_a"))
+    other = parts.select(F.col("node").alias("b"), F.col("component").alias("part_b"))
+    ends = links.join(one, "a", "left").join(other, "b", "left")
+    ends = ends.select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b")).where("a <> b")
+    return ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, component`` of the links that made the ``parts`` and of ``links``, without going through the former again."""
+    wholes = components(between(links, parts))
+    to = wholes.select(F.col("node").alias("part"), F.col("component").alias("whole"))
+    moved = parts.withColumnRenamed("component", "part").join(to, "part", "left")
+    # A part's own name and a node without part are no ``node`` of the parts.
+    return moved.select("node", F.coalesce("whole", "part").alias("component")).unionByName(wholes)

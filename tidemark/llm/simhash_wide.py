@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import keep_ids, slices, texts_of
-from tidemark.llm.components import components
+from tidemark.llm.components import between, components, joined
 from tidemark.session import settle
 
 SHINGLE = 5
@@ -265,15 +265,18 @@ def open_pairs(entries: DataFrame, bits: int = BITS, list_entries: int = LIST_EN
     return lists.mapInArrow(lambda rows: _list_links(rows, bits, _open_pairs), "a long, b long").distinct()
 
 
-def _torn_groups(entries: DataFrame, links: DataFrame, good: DataFrame) -> DataFrame:
-    """``entries`` of groups by bits that the ``good`` links do not hold together, with their ``whole`` group and ``part`` of it."""
+def _torn_groups(entries: DataFrame, links: DataFrame, parts: DataFrame) -> DataFrame:
+    """``entries`` of groups by bits that are not one of the ``parts``, with their ``whole`` group and ``part`` of it.
 
-    def named(rows: DataFrame, group: DataFrame, name: str) -> DataFrame:
-        to = group.select(F.col("node").alias("rep"), F.col("component").alias(name))
-        return rows.join(to, "rep", "left").withColumn(name, F.coalesce(name, "rep"))
+    Only links between parts are followed, so those that were verified are not gone through once more.
+    """
+
+    def named(rows: DataFrame, key: str, group: DataFrame, name: str) -> DataFrame:
+        to = group.select(F.col("node").alias(key), F.col("component").alias(name))
+        return rows.join(to, key, "left").withColumn(name, F.coalesce(name, key))
 
-    wholes = components(links)
-    marked = named(named(entries.select("fp", "rep"), wholes, "whole"), components(good), "part")
+    wholes = components(between(links, parts))
+    marked = named(named(entries.select("fp", "rep"), "rep", parts, "part"), "part", wholes, "whole")
     marked = settle(marked, "wide-parts")
     torn = marked.groupBy("whole").agg(F.min("part").alias("one"), F.max("part").alias("other")).where("one <> other")
     return marked.join(torn.select("whole"), "whole", "left_semi")
@@ -404,8 +407,8 @@ def near_duplicates(
     equal = prints.join(entries, ["fp", "shingles"]).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     links = settle(links_of(entries, bits).unionByName(equal), "wide-links")
     good = settle(verified(links, texts, shingle, least), "wide-verified")
-    if good.count() < links.count():
-        torn = settle(_torn_groups(entries, links, good), "wide-parts-torn")
-        good = good.unionByName(alike_in_groups(torn, texts, shingle, least, bits))
     grouped = components(good)
+    if good.count() < links.count():
+        torn = settle(_torn_groups(entries, links, grouped), "wide-parts-torn")
+        grouped = joined(grouped, alike_in_groups(torn, texts, shingle, least, bits))
     return grouped.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
