@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,6 +143,46 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert topk_lists.top_k(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def _serve_rows(q_ids, q, ids, v):
+    tables = [pa.table({"vec_id": np.array(i, np.int64), "v": pa.array(m.tolist(), pa.list_(pa.int64()))}) for i, m in ((q_ids, q), (ids, v))]
+    got = defaultdict(list)
+    for r in topk_lists._serve(*tables, 20).to_pylist():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    return got
+
+
+@pytest.mark.parametrize("scale", [1, 10**5, 10**6])
+def test_queries_of_a_group_read_the_lists_together(monkeypatch, scale):
+    monkeypatch.setattr(topk_lists, "BLOCK", 300)
+    calls = []
+    read = topk_lists.Lists.candidates
+    monkeypatch.setattr(topk_lists.Lists, "candidates", lambda self, *a: calls.append(1) or read(self, *a))
+    rng = np.random.default_rng(3)
+    v = (rng.normal(0, 30, (900, 5)) * np.array([9, 1, 1, 0.1, 0])).astype(np.int64) * scale
+    ids = np.arange(900)
+    got = _serve_rows(ids[::3], v[::3], ids, v)
+    assert len(calls) == 3  # one reading of each block, not one a query
+    for i in ids[::3]:
+        scores = v @ v[i]
+        order = sorted((j for j in ids if j != i), key=lambda j: (-scores[j], j))[:20]
+        assert got[i] == [(j, scores[j]) for j in order]
+
+
+def test_bounds_leave_out_vectors_that_cannot_reach_a_score():
+    v = np.stack([np.arange(160.0), np.zeros(160)], axis=1)
+    block = topk_lists.Lists(np.arange(160), v)
+    wanted = block.candidates(np.array([[1.0, 0], [-1, 1], [1, 0]]), np.array([155.0, -3, 155]), np.array([True, True, False]), 0.0)
+    assert np.flatnonzero(wanted[0]).tolist() == list(range(155, 160))
+    assert np.flatnonzero(wanted[1]).tolist() == list(range(4)) and wanted[2].all()
+
+
+def test_versions_of_one_id_take_one_place_in_a_slice():
+    v = np.stack([np.arange(90, 0, -1), np.ones(90)], axis=1).astype(np.int64)
+    ids = np.array([1] * 40 + list(range(100, 150)))
+    got = _serve_rows([0], np.array([[1, 0]]), ids, v)
+    assert got[0] == [(1, 90)] + [(100 + i, 50 - i) for i in range(19)]
+
+
 def test_archive_round_trip(spark):
     long, odd = "<p>" + "x" * 300, "line\r\n\r\nWARC/1.1\r\n" * 20 + "é漢"
     pages = [(5, "http://a/", long), (2, None, long), (9, "http://b/ c\r\nX: y", odd), (7, "u", odd), (1, "u", "short"), (3, "u", "short"), (4, "u", None)]

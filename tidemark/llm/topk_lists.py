@@ -9,6 +9,11 @@ known so far; vectors whose upper bound reaches that score are resolved to their
 raise it for the blocks that follow. A first block, when no score is known, is read to the end, where
 lower and upper bounds meet.
 
+The queries of a group are served together. A list read to some depth shows a component as it is if it lies
+beyond the value at which reading stops, and as that value if not, so the upper bounds of all queries that
+read equally deep are two matrix products, one for the best ends of their positive components and one for
+those of their negative ones. Every query is still compared with every vector: work grows with the product.
+
 Slices' results are merged by query, k rows from each. Nothing is approximate and ties go to the smaller
 id. Groups and slices are bounded in rows at every size; queries and vectors are each sent once per
 slice or group.
@@ -32,7 +37,8 @@ from tidemark.session import settle
 K = 20
 BLOCK = 2048
 SLICE_ROWS = 16384
-GROUP_QUERIES = 512
+GROUP_QUERIES = 2048
+AT_ONCE = 512
 DEPTHS = 16
 _OUT = "query_id long, vec_id long, score long"
 
@@ -42,33 +48,51 @@ class Lists:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable").T.copy()
-        self.values = np.take_along_axis(vectors.T, self.order, axis=1)
+        self.components = vectors if vectors.dtype.kind == "f" else vectors.astype(float)
         n = len(ids)
         self.depths = np.unique(np.ceil(n * np.arange(1, DEPTHS + 1) / DEPTHS).astype(int))
-
-    def candidates(self, query: np.ndarray, least: float) -> np.ndarray:
-        """Places whose upper bound reaches ``least``."""
-        n, used = len(self.ids), np.flatnonzero(query)
-        if not len(used) or least == -np.inf:
-            return np.arange(n)
-        weight = query[used].astype(float)
-        up = weight > 0
-        # The contribution at which each list stops, for every depth.
-        ends = np.where(up[:, None], n - self.depths, self.depths - 1)
-        stops = weight[:, None] * np.take_along_axis(self.values[used], ends, axis=1)
-        outside = stops.sum(axis=0)
-        enough = np.flatnonzero(outside < least)
-        if not len(enough) or self.depths[enough[0]] == n:
-            return np.arange(n)
-        depth, stop = int(self.depths[enough[0]]), stops[:, enough[0]]
-        first = np.where(up, n - depth, 0)
-        span = first[:, None] + np.arange(depth)
-        rows = used[:, None]
-        above = weight[:, None] * self.values[rows, span] - stop[:, None]
-        upper = np.bincount(self.order[rows, span].ravel(), weights=above.ravel(), minlength=n) + outside[enough[0]]
-        slack = 1e-9 * max(1.0, abs(least))
-        return np.flatnonzero(upper >= least - slack)
+        values = np.sort(self.components, axis=0)
+        # The value at which each list stops, for every depth, read from its greatest or its least end.
+        self.great, self.small = values[n - self.depths], values[self.depths - 1]
+        self.distinct = len(np.unique(ids)) == n
+
+    def candidates(self, queries: np.ndarray, least: np.ndarray, known: np.ndarray, slack: float) -> np.ndarray:
+        """By query and place: whether the upper bound reaches ``least``; all places where it is not ``known``."""
+        queries = queries.astype(self.components.dtype)
+        up, down, reach = np.maximum(queries, 0), np.minimum(queries, 0), least - slack
+        enough = (up @ self.great.T + down @ self.small.T < reach[:, None]) & known[:, None]
+        enough[:, -1] = True  # read to the end, every vector has been seen
+        stop = enough.argmax(axis=1)
+        wanted = np.ones((len(queries), len(self.ids)), bool)
+        for d in np.unique(stop[stop < len(self.depths) - 1]):
+            of = np.flatnonzero(stop == d)
+            upper = up[of] @ np.maximum(self.components, self.great[d]).T
+            upper += down[of] @ np.minimum(self.components, self.small[d]).T
+            wanted[of] = upper >= reach[of, None]
+        return wanted
+
+
+def _exact(q: np.ndarray, v: np.ndarray) -> tuple[np.dtype, float]:
+    """The fastest type in which every sum of products is exact, and what bounds may be off by."""
+    high = lambda m: max(abs(int(m.max())), abs(int(m.min()))) if m.size else 0
+    most = q.shape[1] * high(q) * high(v)
+    if most < 1 << 24:
+        return np.dtype(np.float32), 0.0
+    if most < 1 << 53:
+        return np.dtype(float), 0.0
+    return np.dtype(np.int64), most * 2.0**-50 * (q.shape[1] + 1)
+
+
+def _best(found: tuple[np.ndarray, ...], k: int) -> tuple[np.ndarray, ...]:
+    """The k best ids of each query, in order of query and rank; an id counts once, with its best score."""
+    query, ids, scores = (a[np.lexsort((-found[2], found[1], found[0]))] for a in found)
+    first = np.ones(len(query), bool)
+    first[1:] = (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])
+    query, ids, scores = query[first], ids[first], scores[first]
+    order = np.lexsort((ids, -scores, query))
+    query, ids, scores = query[order], ids[order], scores[order]
+    top = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return query[top], ids[top], scores[top]
 
 
 def _serve(queries: pa.Table, vectors: pa.Table, k: int) -> pa.Table:
@@ -76,32 +100,39 @@ def _serve(queries: pa.Table, vectors: pa.Table, k: int) -> pa.Table:
 
     def matrix(rows: pa.Table) -> np.ndarray:
         flat = rows.column("v").combine_chunks().flatten().to_numpy()
-        return flat.reshape(rows.num_rows, -1)
+        return flat.reshape(rows.num_rows, len(flat) // rows.num_rows)
 
     out: list[tuple[np.ndarray, ...]] = []
     if queries.num_rows and vectors.num_rows:
-        wanted, q = queries.column("vec_id").to_numpy(), matrix(queries)
+        asked, q = queries.column("vec_id").to_numpy(), matrix(queries)
         ids, v = vectors.column("vec_id").to_numpy(), matrix(vectors)
-        best_ids = [np.zeros(0, np.int64)] * len(wanted)
-        best = [np.zeros(0, np.int64)] * len(wanted)
+        kind, slack = _exact(q, v)
+        q, v = q.astype(kind), v.astype(kind)
+        lowest = -np.inf if kind.kind == "f" else np.iinfo(kind).min
+        parts = range(0, len(asked), AT_ONCE)
+        best = {p: (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, kind)) for p in parts}
         for start in range(0, len(ids), BLOCK):
             block = Lists(ids[start : start + BLOCK], v[start : start + BLOCK])
-            for i, query in enumerate(q):
-                least = float(best[i][-1]) if len(best[i]) == k else -np.inf
-                places = block.candidates(query, least)
-                places = places[block.ids[places] != wanted[i]]
-                if not len(places):
+            for p in parts:
+                some, names = q[p : p + AT_ONCE], asked[p : p + AT_ONCE]
+                places, _, scores = best[p]
+                n = np.bincount(places, minlength=len(some))
+                known, least = n == k, np.full(len(some), lowest, kind)
+                least[known] = scores[np.cumsum(n)[known] - 1]
+                wanted = block.candidates(some, least, known, slack)
+                wanted &= block.ids != names[:, None]
+                rows = np.flatnonzero(wanted.any(axis=0))
+                if not len(rows):
                     continue
-                scores = np.concatenate([best[i], block.vectors[places] @ query])
-                names = np.concatenate([best_ids[i], block.ids[places]])
-                if len(scores) > 4 * k:
-                    reach = np.partition(scores, len(scores) - k)[len(scores) - k]
-                    scores, names = scores[scores >= reach], names[scores >= reach]
-                order = np.lexsort((names, -scores))[:k]
-                best[i], best_ids[i] = scores[order], names[order]
-        for i, query_id in enumerate(wanted):
-            out.append((np.full(len(best[i]), query_id), best_ids[i], best[i]))
-    columns = [np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out) if out else [(), (), ()])]
+                wanted = wanted[:, rows]
+                resolved = np.where(wanted, some @ block.vectors[rows].T, lowest)
+                if block.distinct and len(rows) > k and not known.all():
+                    least = np.maximum(least, np.partition(resolved, len(rows) - k, axis=1)[:, len(rows) - k])
+                query, place = np.nonzero(wanted & (resolved >= least[:, None]))
+                new = (query, block.ids[rows[place]], resolved[query, place])
+                best[p] = _best(tuple(np.concatenate(x) for x in zip(best[p], new)), k)
+        out = [(asked[p + query], names, scores) for p, (query, names, scores) in best.items()]
+    columns = [np.concatenate(c).astype(np.int64) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
     return pa.table({"query_id": columns[0], "vec_id": columns[1], "score": columns[2]})
 
 
