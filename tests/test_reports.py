@@ -170,3 +170,50 @@ def test_balance_check_reports_a_missing_fee(spark):
         "settlement_id string, amount decimal(12,2), fee_amount decimal(12,2)",
     )
     assert [r.settlement_id for r in extras.assert_balance(df).collect()] == ["b"]
+
+
+def _spending(spark, hot=0):
+    day = lambda n: None if n is None else dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    rng = random.Random(4)
+    spent = [(rng.choice(["a1", "a2", "b1", "x"]), day(rng.randrange(200)), Decimal(rng.randrange(-5000, 9000)) / 100, rng.random() < 0.3) for _ in range(150)]
+    spent += [("a1", day(20), Decimal("1e9"), True)] * hot
+    spent += [("c1", day(5), None, None), ("c1", day(40), Decimal("2.50"), True), ("a2", None, Decimal("7.77"), False), ("a2", None, None, True), (None, day(3), Decimal(1), True)]
+    asked = [("a", day(n)) for n in (3, 3, 33, 95)] + [("b", day(150)), ("d", day(1)), ("a", None)]
+    owners = {"a1": "a", "a2": "a", "b1": "b", "c1": "c"}
+    accounts = spark.createDataFrame(list(owners.items()), "account_id string, customer_id string")
+    transactions = spark.createDataFrame(spent, "account_id string, transaction_date date, amount decimal(12,2), is_declined_or_failed boolean")
+    cases = spark.createDataFrame([(c, d and dt.datetime(d.year, d.month, d.day, 9)) for c, d in asked], "customer_id string, opened_at timestamp_ntz")
+    return (accounts, transactions, cases), [(owners[a], *r) for a, *r in spent if a in owners], asked
+
+
+@pytest.mark.parametrize("hot", [0, 400])
+def test_trailing_sums_equal_brute_force(spark, hot):
+    tables, spent, asked = _spending(spark, hot)
+    got = {(r["customer_id"], r["day"]): r for r in extras.rolling_30_60_90(*tables, spans=(1, 30, 90)).collect()}
+    assert set(got) == {(c, d) for c, d, *_ in spent} | set(asked)
+    for (customer, day), r in got.items():
+        for span in (1, 30, 90):
+            near = lambda d: d is None if day is None else d is not None and 0 <= (day - d).days < span
+            of = [x for x in spent if x[0] == customer and near(x[1])]
+            tickets = sum(c == customer and near(d) for c, d in asked)
+            amounts = [x[2] for x in of if x[2] is not None] + [Decimal(0)] * tickets
+            failed = sum(bool(x[3]) for x in of)
+            micro = of and (failed * 2_000_000 + len(of)) // (2 * len(of))
+            assert r[f"volume_{span}d"] == (sum(amounts) if amounts else None)
+            assert r[f"tickets_{span}d"] == tickets
+            assert r[f"failure_pct_{span}d"] == ((micro + 50) // 100 / 100 if of else None)
+
+
+def test_trailing_sums_shuffle_and_add_each_row_a_fixed_number_of_times(spark):
+    tables, _, _ = _spending(spark)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        plan = extras.rolling_30_60_90(*tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+    # rows and accounts by account, days by customer and day, days by customer
+    assert plan.count("Exchange hashpartitioning") == 4
+    # no frame drops days again, which would add up the days of a window for every day
+    assert "specifiedwindowframe(RangeFrame, -" not in plan and "specifiedwindowframe(RangeFrame, unboundedpreceding$(), -" in plan

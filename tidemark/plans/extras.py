@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,37 +60,54 @@ def rolling_30_60_90(
 ) -> DataFrame:
     """Per customer and active day: volume, failure ratio and tickets of the trailing windows.
 
-    Everything is reduced to days first, so a window holds at most the days of one customer.
+    Everything is reduced to days first, so a window holds at most the days of one customer. Amounts are added up as
+    whole numbers of their smallest unit. A trailing sum is the sum up to a day less the sum up to the day before the
+    span, so a day is added up once per span and not again for every window that holds it.
     """
-    per_account = transactions.groupBy("account_id", F.col("transaction_date").alias("day")).agg(
-        F.sum("amount").alias("volume"),
-        F.count("*").alias("n"),
-        C.count_where(F.col("is_declined_or_failed")).alias("failed"),
-    )
-    spent = per_account.join(accounts.select("account_id", "customer_id"), "account_id").select(
-        "customer_id", "day", "volume", "n", "failed", F.lit(0).cast("bigint").alias("tickets")
+    scale = transactions.schema["amount"].dataType.scale
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    spent = transactions.select(
+        "account_id",
+        F.col("transaction_date").alias("day"),
+        (F.col("amount") * F.lit(10**scale)).cast("bigint").alias("units"),
+        one.alias("n"),
+        F.when(F.col("is_declined_or_failed"), one).otherwise(zero).alias("failed"),
+        zero.alias("tickets"),
     )
-    asked = cases.groupBy("customer_id", F.to_date("opened_at").alias("day")).agg(F.count("*").alias("tickets"))
-    asked = asked.select(
+    # Written first, so that both sides of the join are plain shuffles, of which Spark splits those of a busy account.
+    owners = settle(accounts.select("account_id", "customer_id"), "owners").hint("merge")
+    asked = cases.select(
         "customer_id",
-        "day",
-        F.lit(0).cast("decimal(22,2)").alias("volume"),
-        F.lit(0).cast("bigint").alias("n"),
-        F.lit(0).cast("bigint").alias("failed"),
-        "tickets",
+        F.to_date("opened_at").alias("day"),
+        zero.alias("units"),
+        zero.alias("n"),
+        zero.alias("failed"),
+        one.alias("tickets"),
     )
-    days = spent.unionByName(asked).groupBy("customer_id", "day").agg(
-        *[F.sum(c).alias(c) for c in ("volume", "n", "failed", "tickets")]
+    days = spent.join(owners, "account_id").drop("account_id").unionByName(asked).groupBy("customer_id", "day").agg(
+        F.count("units").alias("valued"), *[F.sum(c).alias(c) for c in ("units", "n", "failed", "tickets")]
     )
-    days = days.withColumn("_day", F.unix_date("day"))
+    measures = ["units", "valued", "n", "failed", "tickets"]
+    by_day = Window.partitionBy("customer_id").orderBy(F.unix_date("day"))
+    upto = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    sums = {c: F.sum(c).over(upto) for c in measures}
+    for span in spans:
+        before = by_day.rangeBetween(Window.unboundedPreceding, -span)
+        sums |= {f"{c}_{span}": F.sum(c).over(before) for c in measures}
+    days = days.select("customer_id", "day", *[total.alias(name) for name, total in sums.items()])
     out = ["customer_id", "day"]
     for span in spans:
-        w = Window.partitionBy("customer_id").orderBy("_day").rangeBetween(-(span - 1), 0)
-        failed, n = F.sum("failed").over(w), F.sum("n").over(w)
+
+        def within(measure: str, span: int = span) -> Column:
+            # rows without a day stand before all others and are not before themselves
+            earlier = F.when(F.col("day").isNotNull(), F.col(f"{measure}_{span}"))
+            return F.coalesce(measure, F.lit(0)) - F.coalesce(earlier, F.lit(0))
+
+        volume = within("units").cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))
         out += [
-            F.sum("volume").over(w).alias(f"volume_{span}d"),
-            C.ratio_percent(failed, n).alias(f"failure_pct_{span}d"),
-            F.sum("tickets").over(w).alias(f"tickets_{span}d"),
+            F.when(within("valued") > 0, volume).alias(f"volume_{span}d"),
+            C.ratio_percent(within("failed"), within("n")).alias(f"failure_pct_{span}d"),
+            within("tickets").alias(f"tickets_{span}d"),
         ]
     return days.select(*out)
 
