@@ -292,6 +292,23 @@ def test_pages_of_one_url_are_documents_of_their_own(spark, tmp_path):
     ]
 
 
+def test_documents_lie_many_to_a_folder_and_are_loaded_in_groups(spark, tmp_path, monkeypatch):
+    """A folder a page cost a process and a listing task each, and an address longer than a file name failed."""
+    urls = [f"http://a/{i % 7}?x=1+2%20&y=ü" for i in range(40)] + ["http://b/" + "long/" * 80 + "=1.txt", "", None]
+    pages = [(url, f"<p>{i}</p>") for i, url in enumerate(urls)]
+    spark.createDataFrame(pages, "url string, html string").repartition(2).write.parquet(f"{tmp_path}/pages.parquet")
+    monkeypatch.setattr(files, "FILES_PER_FOLDER", 10)
+    monkeypatch.setattr(files, "FOLDERS_PER_LOAD", 2)
+    got = rows(QUERIES["document_load"](spark, str(tmp_path)), "file_name", "preview")
+    none = "__HIVE_DEFAULT_PARTITION__"
+    assert [(r["file_name"], r["preview"]) for r in got] == sorted((url or none, str(i)) for i, url in enumerate(urls))
+
+    pages = spark.read.parquet(f"{tmp_path}/pages.parquet").withColumnRenamed("url", "name").coalesce(1)
+    folders = files.stage_documents(pages, f"file://{tmp_path}/staged", "name", "html")
+    listed = files.list_files(spark, f"file://{tmp_path}/staged", "*.txt")
+    assert len(folders) == 5 and listed.count() == len(urls)
+
+
 def test_rows_are_written_once(spark, stage, lake, run_ts, monkeypatch):
     """Landed rows are the raw rows: the ledger promotes them, and no file holds them a second time."""
     monkeypatch.setattr(ingest, "FILES_PER_READ", 1)

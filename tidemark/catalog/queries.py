@@ -171,9 +171,11 @@ def document_load(m: Models) -> DataFrame:
     """Every page as a file of its own: listed, extracted, appended, and previewed from what was stored."""
     folder, loaded = new_folder(m.spark, "documents"), new_folder(m.spark, "loaded-documents")
     pages = table(m.spark, m.sf_dir, "pages").select(F.col("url").alias("name"), F.coalesce("html", F.lit("")).alias("html"))
-    pages.write.option("maxRecordsPerFile", 1).partitionBy("name").text(folder)  # an url may have several pages
-    documents = files.load_documents(m.spark, folder, "*.txt", files.html_document, RUN_TS, named_by="name")
-    write_batch(documents, loaded, "b1")
+    staged = files.stage_documents(pages, folder, "name", "html")  # an url may have several pages
+    for i in range(0, len(staged), files.FOLDERS_PER_LOAD):
+        group = staged[i : i + files.FOLDERS_PER_LOAD]
+        documents = files.load_documents(m.spark, group, "*.txt", files.html_document, RUN_TS, named_by="name")
+        write_batch(documents, loaded, f"b{i // files.FOLDERS_PER_LOAD + 1}", compression="zstd")
     return files.preview(read_batches(m.spark, loaded, f"{files.DOCUMENT_SCHEMA}, _loaded_at timestamp_ntz"))
 
 

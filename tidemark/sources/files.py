@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import re
 from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import quote_from_bytes
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -241,17 +245,73 @@ def extract_documents(files: DataFrame, extract: Extractor) -> DataFrame:
     return files.select("file_name", "content").mapInPandas(run, DOCUMENT_SCHEMA)
 
 
+FILES_PER_FOLDER = 500
+FOLDERS_PER_LOAD = 100  # whose file names the driver holds at a time
+LONGEST_NAME = 200  # of the 255 bytes that a file system allows
+TASKS_PER_CORE = 4
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+
+
+def stage_documents(documents: DataFrame, folder: str, name: str, content: str) -> list[str]:
+    """Every row as a text file of its own, named after ``name`` as ``name=value=number.txt``; returns the folders that hold them.
+
+    On a shared local file system tasks write the files themselves, in folders of their own attempt, of which only those
+    of attempts that ended well are returned. There the Hadoop client starts a process for every file that it creates.
+    """
+    spark = documents.sparkSession
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(jpath).toUri()
+    if uri.getScheme() != "file":
+        documents.select(name, content).write.option("maxRecordsPerFile", 1).partitionBy(name).text(folder)
+        return [folder]
+    root = uri.getPath()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, n, below = TaskContext.get(), 0, ""
+        for batch in batches:
+            made = []
+            for value, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if n % FILES_PER_FOLDER == 0:
+                    below = f"{root}/{task.partitionId():05d}-{task.taskAttemptId()}/{n // FILES_PER_FOLDER:05d}"
+                    os.makedirs(below)
+                    made.append(below)
+                escaped = quote_from_bytes(value, safe="") if value else NO_NAME
+                # a longer name goes on in folders
+                parts = [escaped[i : i + LONGEST_NAME] for i in range(0, len(escaped), LONGEST_NAME)]
+                path = f"{below}/{name}=" + "/".join(parts) + f"={n % FILES_PER_FOLDER}.txt"
+                if len(parts) > 1:
+                    os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(path, "wb") as out:
+                    out.write(text + b"\n")
+                n += 1
+            yield pa.RecordBatch.from_pydict({"folder": pa.array(made, pa.string())})
+
+    rows = documents.select(F.col(name).cast("binary"), F.col(content).cast("binary"))
+    return sorted(f"file://{r.folder}" for r in rows.mapInArrow(run, "folder string").collect())
+
+
 def load_documents(
-    spark: SparkSession, folder: str, glob: str, extract: Extractor, run_ts: dt.datetime, named_by: str | None = None
+    spark: SparkSession,
+    folder: str | Sequence[str],
+    glob: str,
+    extract: Extractor,
+    run_ts: dt.datetime,
+    named_by: str | None = None,
 ) -> DataFrame:
-    """Documents below a folder. They are named by the end of their path, or by the value of their sub-folder ``named_by=value``."""
+    """Documents below folders. They are named by the end of their path, or by the value of ``named_by=value`` in it,
+    which is a sub-folder or, as ``stage_documents`` writes it, the file."""
+    paths = folder if isinstance(folder, str) else list(folder)
     files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(folder)
+        spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(paths)
     )
     if named_by is not None:
-        escaped = F.regexp_extract("path", rf"/\Q{named_by}\E=([^/]*)/", 1)
+        by_file = F.replace(F.regexp_extract("path", rf"/\Q{named_by}\E=([^=]*)=[0-9]+[.][^/=]*$", 1), F.lit("/"), F.lit(""))
+        by_folder = F.regexp_extract("path", rf"/\Q{named_by}\E=([^/]*)/", 1)
+        escaped = F.when(by_file != "", by_file).otherwise(by_folder)
         # a plus sign stands for itself
         files = files.withColumn("file_name", F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B"))))
+    # Spark counts a file as 4 MB at least, so small ones would make many tasks
+    files = files.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     return extract_documents(files, extract).withColumn("_loaded_at", ntz(run_ts))
 
 

@@ -55,8 +55,8 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
 
 
-def write_batch(df: DataFrame, path: str, batch_id: str) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_batch(df: DataFrame, path: str, batch_id: str, compression: str | None = None) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}", compression=compression)
 
 
 def write_batch_once(df: DataFrame, path: str, batch_id: str) -> None:
