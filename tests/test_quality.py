@@ -107,6 +107,82 @@ def test_models_that_do_not_need_each_other_are_written_at_once(spark, tmp_path,
         assert built[name].exceptAll(plain[name]).isEmpty() and plain[name].exceptAll(built[name]).isEmpty()
 
 
+def test_values_are_compared_whole_where_a_hash_repeats(spark, monkeypatch):
+    df = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), ("c",), ("c",), (None,), (None,)], "k string")
+    assert Q.repeated_values(df, "k") == Q.unique_failures(df, "k").count() == 2
+    assert Q.repeated_values(df.distinct(), "k") == Q.repeated_values(df.limit(0), "k") == 0
+    monkeypatch.setattr(Q.F, "xxhash64", lambda c: F.length(c).cast("bigint"))  # all hashes alike
+    assert Q.repeated_values(df, "k") == 2 and Q.repeated_values(df.distinct(), "k") == 0
+
+
+def _raw_rows(spark):
+    """A few rows of every raw table: a settlement twice, an account without customer, an unknown merchant."""
+    import json
+
+    def landed(*payloads):
+        rows = [(json.dumps(p), dt.datetime(2024, 1, 2), "f") for p in payloads]
+        return spark.createDataFrame(rows, "raw_payload string, _loaded_at timestamp_ntz, _source_file string")
+
+    stamp = "2024-01-05 10:00:00"
+    settled = [(f"s{i % 5}", f"Ss{i % 5}", f"a{i % 3}", "m1" if i else "m9", dt.datetime(2024, 1, 3), dt.date(2024, 1, 4)) for i in range(6)]
+    columns = "settlement_id string, transaction_id string, account_id string, merchant_id string, transaction_timestamp timestamp_ntz, settlement_date date"
+    settlements = spark.createDataFrame(settled, columns).selectExpr(
+        "*", "cast(12.5 as decimal(12,2)) amount", "'USD' currency", "'SETTLED' settlement_status",
+        "cast(1 as decimal(12,2)) fee_amount", "transaction_timestamp _loaded_at", "'f' _source_file",
+    )
+    event = {"amount": "3.50", "currency": "USD", "merchant_id": "m1", "event_timestamp": stamp, "channel": "ATM", "device_id": "D1"}
+    account = {"account_type": "SAVINGS", "account_status": "OPEN", "current_balance": "5.00", "currency": "USD", "created_at": stamp, "updated_at": stamp}
+    activity = {"account_status": "FROZEN", "current_balance": "7.00", "currency": "USD", "customer_id": "c1"}
+    case = {"category": "FEE_INQUIRY", "priority": "HIGH", "status": "OPEN", "narrative": "text", "opened_at": stamp}
+    return {
+        "settlements": settlements,
+        "partner_transactions": landed(*[event | {"event_id": f"{i}", "transaction_id": f"T{i}", "account_id": "a1", "authorization_status": x} for i, x in enumerate(("APPROVED", "ODD"))]),
+        "customers_api_raw": landed({"records": [{"customer_id": c, "customer_status": "ACTIVE", "risk_rating": "LOW", "created_at": stamp, "updated_at": stamp} for c in ("c1", "c2")]}),
+        "accounts_api_raw": landed({"records": [account | {"account_id": f"a{i}", "customer_id": f"c{i}"} for i in range(3)]}),
+        "merchants_api_raw": landed({"records": [{"merchant_id": "m1", "merchant_name": "M", "industry": "FUEL", "risk_category": "LOW"}]}),
+        "support_cases": landed(case | {"case_id": "1", "customer_id": "c1"}, case | {"case_id": "1", "customer_id": "c8"}),
+        "external_exchange_rates": landed({"base_currency": "USD", "ingested_at": stamp, "payload": {"date": "2024-01-05", "rates": {"C1": 0.5}}}),
+        "account_activity": landed(*[activity | {"account_id": f"a{i}", "updated_at": stamp} for i in (1, 1, 7)]),
+    }
+
+
+def test_models_are_tested_when_written_and_tables_go_that_nothing_reads(spark, tmp_path, monkeypatch):
+    from tidemark.plans import graph
+    from tidemark.sources.tables import AS_OF
+
+    monkeypatch.setattr(Q, "HASHED_FROM", 1)
+    raw, folder, observed = _raw_rows(spark), tmp_path / "m", Q.Observed(SUITE)
+    found, beside = [], {}
+
+    def test(models, names):
+        suite = {n: tests for n, tests in SUITE.items() if n in names}
+        beside.update({n: {p.name for p in folder.iterdir()} for n in names})
+        found.extend(Q.run_tests(models, suite, [p for p in PARITY if p[0] in names], observed).collect() if suite else [])
+
+    left = graph.build_models(spark, raw, AS_OF, f"file://{folder}", observed, by_month=False, written=test)
+    assert set(beside) == set(graph.build_models(spark, raw, AS_OF))
+    assert "stg_settlements" not in beside["int_transactions_unified"] and "stg_settlements" not in left
+    assert "int_transactions_unified" not in beside["mart_customer_360"]
+    assert {p.name for p in folder.iterdir()} == set(left)
+    want = Q.run_tests(graph.build_models(spark, raw, AS_OF), SUITE, PARITY).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, want)) and len(found) == 92
+    failed = {tuple(r)[:3]: r.failures for r in found if r.failures}
+    assert failed[("stg_settlements", "unique", "settlement_id")] == 1
+    assert failed[("int_transactions_unified", "relationships", "merchant_id")] == 1
+
+
+def test_shuffle_files_are_removed_only_within(spark):
+    from tidemark.session import REMOVE_SHUFFLES, shuffles_removed
+
+    before = spark.conf.get(REMOVE_SHUFFLES, None)
+    try:
+        with shuffles_removed(spark):
+            assert spark.conf.get(REMOVE_SHUFFLES) == "true"
+            raise KeyError
+    except KeyError:
+        assert spark.conf.get(REMOVE_SHUFFLES, None) == before
+
+
 def test_prints_of_months_are_whole_sums(spark):
     from tidemark.plans import monthly as M
 

@@ -21,7 +21,7 @@ from tidemark.plans import churn, extras, health, ingest, inventory, semantic
 from tidemark.plans import intermediate as I
 from tidemark.plans.graph import build_models
 from tidemark.plans.suite import FRESHNESS, PARITY, SUITE
-from tidemark.session import new_folder, settle, shared_root
+from tidemark.session import new_folder, settle, shared_root, shuffles_removed
 from tidemark.sources import files
 from tidemark.sources import tables as R
 from tidemark.sources.tables import AS_OF, RUN_TS, table
@@ -517,11 +517,22 @@ def test_rowcount_parity(m: Models) -> DataFrame:
 
 @query
 def dq_results(m: Models) -> DataFrame:
-    """Every column test of every model, over models written once; row tests are counted while writing."""
-    observed = quality.Observed(SUITE)
-    built = build_models(m.spark, R.raw_tables(m.spark, m.sf_dir), AS_OF, new_folder(m.spark, "models"), observed, by_month=False)
-    counted = quality.run_tests(built, SUITE, PARITY, observed)
-    path = new_folder(m.spark, "dq")
+    """Every column test of every model, over models written once; row tests are counted while writing.
+
+    A model is tested when it is written, and its table goes when no other model needs it.
+    """
+    observed, found = quality.Observed(SUITE), []
+
+    def test(models: dict[str, DataFrame], names: list[str]) -> None:
+        suite = {n: tests for n, tests in SUITE.items() if n in names}
+        pairs = [pair for pair in PARITY if pair[0] in names]
+        if suite:
+            found.extend(quality.run_tests(models, suite, pairs, observed).collect())
+
+    with shuffles_removed(m.spark):
+        raw, folder = R.raw_tables(m.spark, m.sf_dir), new_folder(m.spark, "models")
+        build_models(m.spark, raw, AS_OF, folder, observed, by_month=False, written=test)
+    counted, path = m.spark.createDataFrame(found, quality.COUNTED), new_folder(m.spark, "dq")
     write_batch(quality.as_results(counted, "run1", RUN_TS), path, "run1")
     schema = (
         "test_run_id string, model_name string, test_name string, test_status string, "
